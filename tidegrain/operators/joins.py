@@ -184,3 +184,16 @@ def equal_null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
         part = a[k].eqNullSafe(b[k])
         cond = part if cond is None else cond & part
     return cond
+
+
+def not_in(df: DataFrame, key: str, values: DataFrame, value: str) -> DataFrame:
+    """``key NOT IN (SELECT value ...)`` with SQL's NULL rules, as a shuffled anti-join.
+
+    Spark's own plan for ``NOT IN`` broadcasts the list, which may not fit; here the two NULL rules
+    are scalars: a NULL in the list empties the result, and a NULL key survives only an empty list.
+    """
+    facts = values.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col(value).isNull(), 1)).alias("nulls")).alias("f"))
+    n, nulls = facts.select("f.n").scalar(), facts.select("f.nulls").scalar()
+    listed = values.where(F.col(value).isNotNull()).select(F.col(value).alias(key))
+    kept = df.join(listed, key, "left_anti")
+    return kept.where((nulls == 0) & (F.col(key).isNotNull() | (n == 0)))
