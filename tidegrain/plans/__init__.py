@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("store_views", "store_basics", "store_cleaning", "store_problems")
+MODULES = ("store_views", "store_basics", "store_cleaning", "store_problems", "survey")
 
 
 def all_jobs():
