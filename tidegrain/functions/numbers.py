@@ -21,6 +21,12 @@ def half_up(c: Column, digits: int = 2) -> Column:
     return F.signum(d) * F.floor(F.abs(d) * f + F.lit(0.5)) / F.lit(f)
 
 
+def half_even(c: Column, digits: int) -> Column:
+    """Round a double to even on ties, by scaling (the rule of array libraries)."""
+    f = float(10**digits)
+    return F.rint(c.cast("double") * F.lit(f)) / F.lit(f)
+
+
 def dbl(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 

@@ -70,3 +70,8 @@ def half_up_sql(expr: str, digits: int = 2) -> str:
     """SQL twin of ``half_up``."""
     e, f = f"CAST({expr} AS DOUBLE)", 10**digits
     return f"(sign({e}) * floor(abs({e}) * {f} + 0.5) / {f})"
+
+
+def half_even_sql(expr: str, digits: int) -> str:
+    """SQL twin of ``half_even``."""
+    return f"(round_even(CAST({expr} AS DOUBLE) * {10**digits}.0, 0) / {10**digits}.0)"

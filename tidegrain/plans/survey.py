@@ -101,14 +101,14 @@ def missing_states(t: Tables) -> DataFrame:
 
 
 @job("mean_in_high_years", """SELECT CAST(sum(value) AS DOUBLE) / count(value) AS avg_value FROM v_production WHERE commodity = 'F' AND year IN
-(SELECT year FROM v_production WHERE commodity = 'P' GROUP BY year HAVING sum(value) > (SELECT sum(value) / 7 FROM v_production WHERE commodity = 'P'))""")
+(SELECT year FROM v_production WHERE commodity = 'P' GROUP BY year HAVING sum(value) > (SELECT CAST(sum(value) AS DOUBLE) / count(DISTINCT year) FROM v_production WHERE commodity = 'P'))""")
 def mean_in_high_years(t: Tables) -> DataFrame:
     """Mean of one commodity in the years in which another was high: one pass gives yearly sums of both."""
     o = t.raw("orders").where(F.col("o_orderstatus").isin("F", "P"))
     v = F.floor(F.col("o_totalprice").cast("decimal(18,2)")).cast("bigint")
     f, p = F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "P"
     years = o.groupBy(F.year("o_orderdate").alias("y")).agg(F.sum(F.when(f, v)).alias("fs"), count_if(f).alias("fn"), F.sum(F.when(p, v)).alias("ps"))
-    limit = years.agg(dbl(F.sum("ps")) / F.lit(7)).scalar()
+    limit = years.agg(mean(F.sum("ps"), F.count("ps"))).scalar()
     return years.where(dbl("ps") > limit).agg(mean(F.sum("fs"), F.sum("fn")).alias("avg_value"))
 
 
