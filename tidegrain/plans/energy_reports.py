@@ -325,8 +325,8 @@ def freshness(t: Tables) -> DataFrame:
 
 
 @job("cycle_cost", f"""SELECT hour_local, tariff_label, CAST(price AS DOUBLE) AS price_eur_mwh, {h('gen', 1)} AS gen_kw, {h('CAST(greatest(CAST(0 AS DECIMAL(12,3)), CAST(18 AS DECIMAL(12,3)) - gen) * price AS DOUBLE) / 1000.0 * 2')} AS cycle_cost_eur
-FROM v_star WHERE date = DATE '2024-01-17' AND client_id = 'C000002' ORDER BY cycle_cost_eur NULLS FIRST, unix_time LIMIT 8""")
-def cycle_cost(t: Tables, client: str = "C000002", load_kw: int = 18) -> DataFrame:
+FROM v_star WHERE date = DATE '2024-01-17' AND client_id = 'C000001' ORDER BY cycle_cost_eur NULLS FIRST, unix_time LIMIT 8""")
+def cycle_cost(t: Tables, client: str = ONE, load_kw: int = 18) -> DataFrame:
     """Eight cheapest hours for a two-hour cycle of a deferrable load."""
     zero = F.lit(0).cast("decimal(12,3)")
     need = max2(zero, F.lit(load_kw).cast("decimal(12,3)") - F.col("gen"))
