@@ -24,9 +24,9 @@ def interpolate_positions(df: DataFrame, keys: Sequence[str], t: str, c: str) ->
     back, ahead = base.rowsBetween(W.unboundedPreceding, 0), base.rowsBetween(0, W.unboundedFollowing)
     known = F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).alias("v")))
     out = (
-        df.withColumn("_pos", F.row_number().over(base))
-        .withColumn("_a", F.last(known, ignorenulls=True).over(back))
-        .withColumn("_b", F.first(known, ignorenulls=True).over(ahead))
+        df.withColumn("_pos", F.row_number().over(base)).withColumn("_known", known)
+        .withColumns({"_a": F.last("_known", ignorenulls=True).over(back), "_b": F.first("_known", ignorenulls=True).over(ahead)})
+        .drop("_known")
     )
     share = (F.col("_pos") - F.col("_a.p")) / (F.col("_b.p") - F.col("_a.p"))
     line = F.col("_a.v") + (F.col("_b.v") - F.col("_a.v")) * share
@@ -49,20 +49,23 @@ def hourly_grid(df: DataFrame, keys: Sequence[str], t: str, numbers: Sequence[st
     base = W.partitionBy(*keys).orderBy(t)
     upto = base.rowsBetween(W.unboundedPreceding, 0)
     after = base.rowsBetween(1, W.unboundedFollowing)
-    out = df.withColumn("_next", F.lead(t).over(base))
+    known = {
+        f"_k_{c}": F.when(F.col(c).isNotNull(), F.struct(F.col(t).alias("t"), F.col(c).cast("double").alias("v"))) for c in numbers
+    }
+    # all window columns in one projection: one sort and one window operator
+    windows = {"_next": F.lead(t).over(base)}
     for c in numbers:
-        known = F.when(F.col(c).isNotNull(), F.struct(F.col(t).alias("t"), F.col(c).cast("double").alias("v")))
-        out = out.withColumn(f"_{c}_a", F.last(known, ignorenulls=True).over(upto)).withColumn(
-            f"_{c}_b", F.first(known, ignorenulls=True).over(after)
-        )
-    for c in labels:
-        out = out.withColumn(c, F.last(c, ignorenulls=True).over(upto))
+        windows[f"_{c}_a"] = F.last(f"_k_{c}", ignorenulls=True).over(upto)
+        windows[f"_{c}_b"] = F.first(f"_k_{c}", ignorenulls=True).over(after)
+    windows.update({f"_l_{c}": F.last(c, ignorenulls=True).over(upto) for c in labels})
+    out = df.withColumns(known).withColumns(windows)
     last = F.coalesce(F.col("_next") - F.expr("INTERVAL 1 HOUR"), F.col(t))
     out = out.withColumn("_slot", F.explode(F.sequence(F.col(t), last, F.expr("INTERVAL 1 HOUR"))))
     cols = [F.col(k) for k in keys] + [F.col("_slot").alias(t)]
     for c in numbers:
         cols.append(_line(F.col(f"_{c}_a"), F.col(f"_{c}_b"), F.col("_slot")).alias(c))
-    return out.select(*cols, *labels, *[c for c in df.columns if c not in {*keys, t, *numbers, *labels}])
+    cols += [F.col(f"_l_{c}").alias(c) for c in labels]
+    return out.select(*cols, *[c for c in df.columns if c not in {*keys, t, *numbers, *labels}])
 
 
 def _line(a: Column, b: Column, slot: Column) -> Column:

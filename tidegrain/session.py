@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # building a plan costs half the time without a stack trace per column
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
