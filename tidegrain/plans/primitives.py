@@ -147,7 +147,7 @@ def delete_short(t: Tables) -> DataFrame:
     return TB.delete_where(t.tracks, F.length("name") < 9).select("track_id", "name", F.upper("genre").alias("genre"))
 
 
-@job("price_upsert", """SELECT track_id, CASE WHEN track_id % 4 = 0 OR track_id % 5 = 0 AND track_id >= 0 AND track_id % 4 = 0 THEN CAST(unit_price AS DOUBLE) + 1 ELSE CAST(unit_price AS DOUBLE) END AS price FROM v_track WHERE track_id % 3 <> 0 OR track_id % 4 = 0""")
+@job("price_upsert", """SELECT track_id, CASE WHEN track_id % 4 = 0 THEN CAST(unit_price AS DOUBLE) + 1 ELSE CAST(unit_price AS DOUBLE) END AS price FROM v_track WHERE track_id % 3 <> 0 OR track_id % 4 = 0""")
 def price_upsert(t: Tables) -> DataFrame:
     """Replace-by-key upsert, applied twice (the second run changes nothing)."""
     base = t.tracks.select("track_id", dbl("unit_price").alias("price"))

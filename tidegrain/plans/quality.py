@@ -297,30 +297,29 @@ def coverage(t: Tables) -> DataFrame:
 
 
 @job("row_lineage", """WITH r AS (SELECT id, status, CAST(epoch(executed_at) AS BIGINT) + 708588000 AS at FROM (SELECT *, row_number() OVER (PARTITION BY executed_at ORDER BY id DESC) AS rn FROM v_run) WHERE rn = 1)
-SELECT f.client_id, f.unix_time, f.pv_power_gen_kw, f._loaded_at_utc AS loaded_at, (SELECT CAST(arg_max(r.id, r.at) AS VARCHAR) || ' (' || arg_max(r.status, r.at) || ')' FROM r WHERE r.at <= f._loaded_at_utc) AS pipeline_run
-FROM v_fact f WHERE f.unix_time = 1705392000""")
+SELECT f.client_id, f.unix_time, f.pv_power_gen_kw, f._loaded_at_utc AS loaded_at, CAST(r.id AS VARCHAR) || ' (' || r.status || ')' AS pipeline_run FROM v_fact f ASOF LEFT JOIN r ON f._loaded_at_utc >= r.at""")
 def row_lineage(t: Tables) -> DataFrame:
-    """Fact rows of a slot with the run that produced them (latest run at or before the load time).
+    """Fact rows with the run that produced them (latest run at or before the load time).
 
     The run log is shifted to the fact's years; the as-of lookup runs on the distinct load times only.
     """
     log = runs(t).groupBy("executed_at").agg(F.max(F.struct("id", "status")).alias("r")).select(
         F.timestamp_seconds(D.epoch(F.col("executed_at")) + F.lit(708588000)).alias("at"), F.col("r.id").alias("id"), F.col("r.status").alias("status"))
-    f = E.gold_fact(t).where((F.col("slot_date") == "2024-01-16") & (F.col("unix_time") == 1705392000))
+    f = E.gold_fact(t)
     found = asof_lookup(f, log, "_loaded_at_utc", "at", ["id", "status"])
     return f.join(found, "_loaded_at_utc", "left").select(
         "client_id", "unix_time", "pv_power_gen_kw", D.epoch(F.col("_loaded_at_utc")).alias("loaded_at"), F.concat(F.col("id").cast("string"), F.lit(" ("), "status", F.lit(")")).alias("pipeline_run"))
 
 
-@job("lineage", """SELECT f.client_id, f.unix_time, f.pv_power_gen_kw, f._loaded_at_utc AS loaded_at FROM v_fact f JOIN v_calc k ON k.client_id = f.client_id AND k.unix_time = f.unix_time JOIN v_clean_client c ON c.client_id = f.client_id
-JOIN v_clean_weather w ON w.client_id = f.client_id AND w.unix_time = f.unix_time WHERE f.unix_time BETWEEN 1705392000 AND 1705402800""")
+@job("lineage", """SELECT f.client_id, f.unix_time, f.pv_power_gen_kw, k.poa_wm2, c.name AS client_name, CAST(epoch(w.ing) AS DOUBLE) AS weather_ingested, f._loaded_at_utc AS loaded_at FROM v_fact f JOIN v_calc k ON k.client_id = f.client_id AND k.unix_time = f.unix_time JOIN v_clean_client c ON c.client_id = f.client_id
+JOIN v_clean_weather w ON w.client_id = f.client_id AND w.unix_time = f.unix_time""")
 def lineage(t: Tables) -> DataFrame:
     """Fact rows joined back to calculation, client and weather sources."""
-    f = E.gold_fact(t).where((F.col("slot_date") == "2024-01-16") & F.col("unix_time").between(1705392000, 1705402800))
     key = ["client_id", "unix_time"]
-    window = F.col("unix_time").between(1705392000, 1705402800)
-    return (f.join(E.clean_calculations(t).where(window).select(*key), key).join(E.clean_weather(t).where(window).select(*key), key).join(E.clean_clients(t).select("client_id"), "client_id")
-            .select("client_id", "unix_time", "pv_power_gen_kw", D.epoch(F.col("_loaded_at_utc")).alias("loaded_at")))
+    calc = E.clean_calculations(t).select(*key, "poa_wm2")
+    weather = E.clean_weather(t).select(*key, (F.unix_micros("_ingested_at_utc") / F.lit(1000000.0)).alias("weather_ingested"))
+    f = E.gold_fact(t).select(*key, "pv_power_gen_kw", D.epoch(F.col("_loaded_at_utc")).alias("loaded_at"))
+    return f.join(calc, key).join(weather, key).join(E.clean_clients(t).select("client_id", F.col("name").alias("client_name")), "client_id")
 
 
 @job("alerts", """SELECT (SELECT count(*) FROM v_run WHERE status LIKE 'FAILED%' AND executed_at >= TIMESTAMP '2001-07-30') AS failures_24h, (SELECT count(*) FROM (SELECT client_id FROM v_fact WHERE unix_time >= 1705363200 GROUP BY 1 HAVING count(*) < 100)) AS clients_without_coverage,
