@@ -111,15 +111,16 @@ def run_score(scores: DataFrame) -> DataFrame:
 def check_schema(df: DataFrame, record: str, required: Sequence[tuple[str, str]], integers: Sequence[str]) -> DataFrame:
     """Missing keys and wrong types of JSON records, one row per violation.
 
-    ``required`` holds (code, JSON path); ``integers`` holds paths that must be unquoted whole numbers.
+    ``required`` holds (code, JSON path); ``integers`` holds paths whose value must be a whole number.
+    Each record is parsed once, into a variant that keeps the types of its values.
     """
-    def raw(path: str) -> Column:
-        return F.get_json_object(record, path)
+    parsed = df.withColumn("_v", F.try_parse_json(record)).drop(record)
 
-    faults = [F.when(raw(p).isNull(), F.concat(F.lit(f"{code} missing "), F.lit(p))) for code, p in required]
+    def at(path: str) -> Column:
+        return F.try_variant_get("_v", path, "variant")
+
+    faults = [F.when(at(p).isNull(), F.concat(F.lit(f"{code} missing "), F.lit(p))) for code, p in required]
     for i, p in enumerate(integers, 1):
-        parent, leaf = p.rsplit(".", 1)
-        quoted = (raw(parent) if parent != "$" else F.col(record)).rlike(f'"{leaf}"\\s*:\\s*"')
-        faults.append(F.when(raw(p).isNotNull() & (quoted | ~raw(p).rlike(r"^-?\d+$")), F.lit(f"T{i:02d} not an integer {p}")))
+        faults.append(F.when(at(p).isNotNull() & (F.schema_of_variant(at(p)) != "BIGINT"), F.lit(f"T{i:02d} not an integer {p}")))
     listed = F.filter(F.array(*faults), lambda x: x.isNotNull())
-    return df.select(*[c for c in df.columns if c != record], F.explode(listed).alias("violation"))
+    return parsed.select(*[c for c in df.columns if c != record], F.explode(listed).alias("violation"))

@@ -33,9 +33,12 @@ def keep_top_ranked(df: DataFrame, c: str, k: int, rank_col: str) -> DataFrame:
 
 
 def top_of_group(df: DataFrame, keys: Sequence[str], c: str) -> DataFrame:
-    """Rows equal to the maximum of their group, ties kept: partial maximum, then an equi-join."""
-    best = df.groupBy(*keys).agg(F.max(c).alias(c))
-    return df.join(best, [*keys, c], "left_semi")
+    """Rows equal to the maximum of their group, ties kept, in one pass.
+
+    ``RANK() = 1`` is pushed below the shuffle: a map task sends only its own best rows of each group.
+    """
+    w = W.partitionBy(*keys).orderBy(F.col(c).desc())
+    return df.withColumn("_rank", F.rank().over(w)).where("_rank = 1").drop("_rank")
 
 
 def dense_top(df: DataFrame, keys: Sequence[str], c: str, k: int, rank_col: str) -> DataFrame:

@@ -228,12 +228,10 @@ def master_rows(t: Tables) -> DataFrame:
 FROM v_final_customer c JOIN v_invoice i ON c.customer_id = i.customer_id JOIN v_line l ON i.invoice_id = l.invoice_id
 JOIN v_track t ON l.track_id = t.track_id GROUP BY 1, 2""")
 def master_sales(t: Tables) -> DataFrame:
-    """Territory by genre; lines are reduced to (invoice, genre) and (customer, genre) on the way up."""
+    """Territory by genre; lines are reduced to (customer, genre) before the customers are joined."""
     tr = t.tracks.select("track_id", F.col("genre").alias("genre_name"))
-    per_inv = t.lines.join(tr, "track_id").groupBy("invoice_id", "genre_name").agg(F.sum("line_total").alias("s"), F.count(F.lit(1)).alias("n"))
-    per_cust = per_inv.join(t.invoices.select("invoice_id", "customer_id"), "invoice_id").groupBy("customer_id", "genre_name").agg(
-        F.sum("s").alias("s"), F.sum("n").alias("n")
-    )
+    rows = t.lines.select("invoice_id", "track_id", "line_total").join(tr, "track_id").join(t.invoices.select("invoice_id", "customer_id"), "invoice_id")
+    per_cust = rows.groupBy("customer_id", "genre_name").agg(F.sum("line_total").alias("s"), F.count(F.lit(1)).alias("n"))
     return per_cust.join(clean_pipeline(t).select("customer_id", "territory"), "customer_id").groupBy("territory", "genre_name").agg(
         dbl(F.sum("s")).alias("total_revenue"), F.sum("n").alias("units_sold")
     )

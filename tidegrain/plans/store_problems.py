@@ -20,13 +20,15 @@ def _names(t: Tables) -> DataFrame:
     return t.customers.select("customer_id", F.concat("first_name", F.lit(" "), "last_name").alias("customer"), "country")
 
 
-def _genre_spend(t: Tables) -> DataFrame:
-    """(customer, genre) spend, reduced step by step: line -> (invoice, genre) -> (customer, genre)."""
-    per_inv = t.lines.join(t.tracks.select("track_id", "genre"), "track_id").groupBy("invoice_id", "genre").agg(F.sum("line_total").alias("s"))
-    return (
-        per_inv.join(t.invoices.select("invoice_id", "customer_id"), "invoice_id")
-        .groupBy("customer_id", "genre").agg(F.sum("s").alias("genre_spend"))
-    )
+def _sold(t: Tables, lines: DataFrame) -> DataFrame:
+    """Lines with their customer: one shuffle on the invoice, a hot invoice is split by the adaptive skew join."""
+    return lines.join(t.invoices.select("invoice_id", "customer_id"), "invoice_id")
+
+
+def _genre_spend(t: Tables, lines: DataFrame | None = None) -> DataFrame:
+    """(customer, genre) spend."""
+    rows = (lines or t.lines).select("invoice_id", "track_id", "line_total").join(t.tracks.select("track_id", "genre"), "track_id")
+    return _sold(t, rows).groupBy("customer_id", "genre").agg(F.sum("line_total").alias("genre_spend"))
 
 
 @job("running_spend", """SELECT i.customer_id, c.first_name || ' ' || c.last_name AS customer, i.invoice_id, i.invoice_date, CAST(i.total AS DOUBLE) AS total,
@@ -48,9 +50,8 @@ FROM v_customer c JOIN v_invoice i ON i.customer_id = c.customer_id JOIN v_line
 JOIN v_employee e ON e.employee_id = l.artist_id GROUP BY c.country, e.name) SELECT country, artist, units_sold FROM v WHERE r = 1""")
 def best_artist_country(t: Tables) -> DataFrame:
     """Best-selling artist per country, ties kept."""
-    per_inv = t.lines.groupBy("invoice_id", "artist_id").agg(F.sum("quantity").alias("q"))
-    per_cust = per_inv.join(t.invoices.select("invoice_id", "customer_id"), "invoice_id").groupBy("customer_id", "artist_id").agg(F.sum("q").alias("q"))
-    units = per_cust.join(t.customers.select("customer_id", "country"), "customer_id").groupBy("country", "artist_id").agg(F.sum("q").alias("units_sold"))
+    sold = _sold(t, t.lines.select("invoice_id", "artist_id", "quantity")).join(t.customers.select("customer_id", "country"), "customer_id")
+    units = sold.groupBy("country", "artist_id").agg(F.sum("quantity").alias("units_sold"))
     artists = t.employees.select(F.col("employee_id").alias("artist_id"), F.col("name").alias("artist"))
     return R.top_of_group(units, ["country"], "units_sold").join(artists, "artist_id").select("country", "artist", "units_sold").orderBy("country")
 
@@ -103,9 +104,7 @@ FROM v_customer c WHERE (SELECT count(DISTINCT t.genre) FROM v_invoice i JOIN v_
 WHERE i.customer_id = c.customer_id AND l.quantity > 40) = (SELECT count(DISTINCT genre) FROM v_track)""")
 def covers_all(t: Tables, least_quantity: int = 40) -> DataFrame:
     """Customers who bought every genre in large quantities (relational division)."""
-    big = t.lines.where(F.col("quantity") > least_quantity).join(t.tracks.select("track_id", "genre"), "track_id")
-    per_inv = big.groupBy("invoice_id", "genre").agg(F.sum("line_total").alias("s"))
-    pairs = per_inv.join(t.invoices.select("invoice_id", "customer_id"), "invoice_id").groupBy("customer_id", "genre").agg(F.sum("s").alias("s"))
+    pairs = _genre_spend(t, t.lines.where(F.col("quantity") > least_quantity)).withColumnRenamed("genre_spend", "s")
     all_of = J.divide(pairs, "customer_id", "genre", t.tracks)
     totals = pairs.groupBy("customer_id").agg(F.count("genre").alias("distinct_genres"), dbl(F.sum("s")).alias("total_spent"))
     return totals.join(all_of, "customer_id", "left_semi").join(_names(t), "customer_id").select(
