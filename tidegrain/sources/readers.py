@@ -19,9 +19,10 @@ def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFr
 def read_csv_positional(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV without header; rows with too few fields are skipped.
 
-    A short row is told from a row with empty trailing values by the corrupt-record column.
+    A short row is told from a row with empty trailing values by the corrupt-record column, which is only
+    filled when whole rows are parsed: column pruning is off for this scan.
     """
-    full = spark.read.csv(path, schema=f"{schema}, _bad string", mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
+    full = spark.read.option("columnPruning", "false").csv(path, schema=f"{schema}, _bad string", mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
     return full.where(F.col("_bad").isNull()).drop("_bad")
 
 
