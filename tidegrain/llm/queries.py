@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrain.llm import simhash, substring
+from tidegrain.llm import contamination, simhash, substring
 from tidegrain.llm.common import table
 
 
+def op5_decontaminate(spark: SparkSession, root: str) -> DataFrame:
+    return contamination.digests(contamination.decontaminate(table(spark, root, "documents"), table(spark, root, "benchmark")))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, root, "documents"))
 
@@ -16,11 +20,28 @@ def op10_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return substring.digests(substring.remove_repeated(table(spark, root, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op8_simhash_near_dedup, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op5_decontaminate, op8_simhash_near_dedup, op10_substring_dedup)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+LETTERS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLE_SQL = {
+    "op5_decontaminate": rf"""
+        WITH d AS (SELECT doc_id, {LETTERS} AS w FROM documents),
+        b AS (SELECT item_id, {LETTERS} AS w FROM benchmark),
+        win AS (SELECT item_id, array_to_string(w[p:p + 12], ' ') AS k, least(13, len(w)) AS n
+                FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS p FROM b WHERE len(w) > 0) s),
+        sizes AS (SELECT DISTINCT n FROM win),
+        grams AS (SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS k
+                  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, sizes WHERE len(w) >= n) s),
+        occ AS (SELECT doc_id, p, n, k FROM grams SEMI JOIN win USING (k, n)),
+        hit AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS i FROM occ) s GROUP BY doc_id),
+        named AS (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM occ JOIN win USING (k, n)),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM named GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id""",
     "op10_substring_dedup": rf"""
         WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
         win AS (SELECT doc_id, p, array_to_string(w[p:p + 49], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d WHERE len(w) >= 50) s),
