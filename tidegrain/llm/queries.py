@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrain.llm import contamination, simhash, substring
+from tidegrain.llm import contamination, exact_stream, simhash, substring
 from tidegrain.llm.common import table
 
 
+def op3_exact_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return exact_stream.deduplicate(spark, f"{root.rstrip('/')}/documents.parquet")
+
+
 def op5_decontaminate(spark: SparkSession, root: str) -> DataFrame:
     return contamination.digests(contamination.decontaminate(table(spark, root, "documents"), table(spark, root, "benchmark")))
 
@@ -20,13 +24,17 @@ def op10_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return substring.digests(substring.remove_repeated(table(spark, root, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op5_decontaminate, op8_simhash_near_dedup, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_decontaminate, op8_simhash_near_dedup, op10_substring_dedup)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 LETTERS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE_SQL = {
+    "op3_exact_dedup": """
+        WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.t) AS text_sha256 FROM d JOIN g USING (t)""",
     "op5_decontaminate": rf"""
         WITH d AS (SELECT doc_id, {LETTERS} AS w FROM documents),
         b AS (SELECT item_id, {LETTERS} AS w FROM benchmark),
