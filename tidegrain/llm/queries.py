@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrain.llm import contamination, exact_stream, simhash, substring
+from tidegrain.llm import contamination, exact_stream, mixing, simhash, substring
 from tidegrain.llm.common import table
 
 
+def op2_mix_sources(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.shares(table(spark, root, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, root: str) -> DataFrame:
     return exact_stream.deduplicate(spark, f"{root.rstrip('/')}/documents.parquet")
 
@@ -24,13 +28,26 @@ def op10_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return substring.digests(substring.remove_repeated(table(spark, root, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_decontaminate, op8_simhash_near_dedup, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_exact_dedup, op5_decontaminate, op8_simhash_near_dedup, op10_substring_dedup)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 LETTERS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE_SQL = {
+    "op2_mix_sources": f"""
+        WITH d AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size FROM documents),
+        s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM d GROUP BY source),
+        w AS (SELECT *, CASE sid % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
+        l AS (SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (ORDER BY source_size / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+                     / sum(weight) OVER (ORDER BY source_size / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lv FROM w),
+        t AS (SELECT *, least(CAST(3 * source_size AS DOUBLE), max(lv) OVER () * weight) AS target FROM l),
+        q AS (SELECT *, least(CAST(floor(target + 0.5) AS BIGINT), 3 * source_size) AS quota FROM t),
+        p AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.quota, CAST(sum(d.size) OVER (
+                  PARTITION BY sid ORDER BY md5(concat_ws(':', 'mix', CAST(d.doc_id AS VARCHAR), CAST(d.size AS VARCHAR))), d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS BIGINT) AS at
+              FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
+        SELECT doc_id, size, source_size, target,
+               CAST(CASE WHEN size = 0 THEN 0 ELSE quota // source_size * size + greatest(0, least(at + size, quota % source_size) - at) END AS BIGINT) AS taken FROM p""",
     "op3_exact_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
