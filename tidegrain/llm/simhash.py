@@ -203,4 +203,5 @@ def near_duplicates(docs: DataFrame, threshold: int = 2, shingle: int = 3) -> Da
     linked = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     classes = classes.join(linked.withColumnRenamed("fp", "linked_fp"), F.col("fp") == F.col("linked_fp"), "left")
     classes = classes.select("fp", F.when(F.col("linked_fp").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
+    classes = written(classes, "components")  # read back, so that the join with all rows can be split where a fingerprint is hot
     return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
