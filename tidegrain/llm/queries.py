@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrain.llm import contamination, exact_stream, mixing, simhash, substring
+from tidegrain.llm import contamination, exact_stream, mixing, simhash, substring, warc
 from tidegrain.llm.common import table
 
 
@@ -24,11 +24,15 @@ def op8_simhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, root, "documents"))
 
 
+def op9_warc_split_reader(spark: SparkSession, root: str) -> DataFrame:
+    return warc.archived(table(spark, root, "pages"), min_bytes=0)
+
+
 def op10_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return substring.digests(substring.remove_repeated(table(spark, root, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_exact_dedup, op5_decontaminate, op8_simhash_near_dedup, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_exact_dedup, op5_decontaminate, op8_simhash_near_dedup, op9_warc_split_reader, op10_substring_dedup)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -67,6 +71,15 @@ ORACLE_SQL = {
         SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id""",
+    "op9_warc_split_reader": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        g AS (SELECT h, max(page_id) AS last_id FROM p GROUP BY h),
+        x AS (SELECT h, last_id, list_transform(range(0, 8), a -> list_sum(list_transform(range(1, 6), b ->
+                 (strpos('0123456789abcdef', substr(sha1(h), 5 * a + b, 1)) - 1) * CAST(pow(16, 5 - b) AS BIGINT)))) AS v FROM g)
+        SELECT page_id, CAST(octet_length(encode(p.h)) AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v[k // 4 + 1] // CAST(pow(2, 15 - 5 * (k % 4)) AS BIGINT) % 32 + 1 AS BIGINT), 1)), '') AS payload_digest,
+               CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last_id THEN last_id END AS refers_to
+        FROM p JOIN x ON p.h = x.h""",
     "op10_substring_dedup": rf"""
         WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
         win AS (SELECT doc_id, p, array_to_string(w[p:p + 49], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d WHERE len(w) >= 50) s),
