@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrain.llm import contamination, exact_stream, mixing, simhash, substring, warc
+from tidegrain.llm import contamination, exact_stream, mixing, simhash, substring, token_files, warc
 from tidegrain.llm.common import table
 
+#: The public byte-level BPE; its path is a parameter of the operator.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op2_mix_sources(spark: SparkSession, root: str) -> DataFrame:
     return mixing.shares(table(spark, root, "documents"))
@@ -20,6 +24,10 @@ def op5_decontaminate(spark: SparkSession, root: str) -> DataFrame:
     return contamination.digests(contamination.decontaminate(table(spark, root, "documents"), table(spark, root, "benchmark")))
 
 
+def op7_token_files(spark: SparkSession, root: str) -> DataFrame:
+    return token_files.round_trip(table(spark, root, "documents"), TOKENIZER)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, root, "documents"))
 
@@ -32,7 +40,7 @@ def op10_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return substring.digests(substring.remove_repeated(table(spark, root, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_exact_dedup, op5_decontaminate, op8_simhash_near_dedup, op9_warc_split_reader, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_exact_dedup, op5_decontaminate, op7_token_files, op8_simhash_near_dedup, op9_warc_split_reader, op10_substring_dedup)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
