@@ -57,6 +57,14 @@ def crc_mod(column: str, n: int) -> Column:
     return F.crc32(F.encode(F.coalesce(F.col(column).cast("string"), F.lit("")), "UTF-8")) % n
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name`` with as many underscores as it takes to differ from all ``taken`` names."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 class WordHashes(dict):
     """XXH64 by word, kept for at most ``limit`` words at a time."""
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrain.llm import contamination, exact_stream, mixing, simhash, substring, token_files, warc
-from tidegrain.llm.common import table
+from tidegrain.llm import contamination, exact_stream, language, mixing, simhash, substring, token_files, warc
+from tidegrain.llm.common import crc_mod, table
 
 #: The public byte-level BPE; its path is a parameter of the operator.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +20,13 @@ def op3_exact_dedup(spark: SparkSession, root: str) -> DataFrame:
     return exact_stream.deduplicate(spark, f"{root.rstrip('/')}/documents.parquet")
 
 
+def op4_language_id(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    held_out = crc_mod("doc_id", 3) == 1
+    found = language.identify(docs, ~held_out)
+    return found.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op5_decontaminate(spark: SparkSession, root: str) -> DataFrame:
     return contamination.digests(contamination.decontaminate(table(spark, root, "documents"), table(spark, root, "benchmark")))
 
@@ -40,7 +47,7 @@ def op10_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return substring.digests(substring.remove_repeated(table(spark, root, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_exact_dedup, op5_decontaminate, op7_token_files, op8_simhash_near_dedup, op9_warc_split_reader, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_exact_dedup, op4_language_id, op5_decontaminate, op7_token_files, op8_simhash_near_dedup, op9_warc_split_reader, op10_substring_dedup)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
