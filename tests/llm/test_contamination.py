@@ -67,9 +67,18 @@ def test_passes_over_a_large_benchmark(spark, monkeypatch):
 def test_empty_tables(spark):
     d, b = spark.createDataFrame([(1, "a b")], "doc_id long, text string"), spark.createDataFrame([(1, "a")], "item_id long, text string")
     assert contamination.decontaminate(d.limit(0), b).collect() == []
-    assert [tuple(r) for r in contamination.decontaminate(d, b.limit(0)).collect()] == [(1, 2, 0, 0, [], False)]
+    assert [tuple(r) for r in contamination.decontaminate(d, b.limit(0)).drop("text_key").collect()] == [(1, 2, 0, 0, [], False)]
 
 
 def test_no_python_in_the_plan(spark):
     d, b = spark.createDataFrame([(1, "a b")], "doc_id long, text string"), spark.createDataFrame([(1, "a")], "item_id long, text string")
     assert "Python" not in contamination.decontaminate(d, b)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keep_clean(spark):
+    docs, items = fixture(5, True)
+    d, b = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, dirty_key int"), spark.createDataFrame(items, "item_id long, text string")
+    kept = contamination.keep_clean(d, b)
+    assert kept.schema == d.schema
+    dirty = [r[5] for x in docs for r in brute([x], items, 13)]
+    assert any(dirty) and sorted(map(repr, kept.collect())) == sorted(repr(r) for r, bad in zip(d.collect(), dirty) if not bad)

@@ -109,3 +109,19 @@ def test_near_duplicates_equal_brute_force(spark):
 
 def test_empty_table(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_keep_one_of_each_group(spark):
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(60)) for _ in range(20)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate(texts[:6])] + [(3, texts[3]), (3, texts[4]), (None, texts[5]), (None, "nobody"), (None, "Nobody"), (200, None), (201, "")]
+    df = spark.createDataFrame([(i, t, 7, "s") for i, t in rows], "doc_id long, text string, keep_fp int, keep_root string")
+    kept = simhash.keep_one(df)
+    assert kept.schema == df.schema
+    prints = {k: brute_fingerprint(t) for k, (i, t) in enumerate(rows)}
+    comp = brute_components(prints, lambda a, b: (a ^ b).bit_count() <= 2)
+    want = {}
+    for k, c in comp.items():
+        want[c] = min(want.get(c, (True, 0)), (rows[k][0] is None, rows[k][0] or 0))
+    got = [r["doc_id"] for r in kept.collect()]
+    assert sorted(map(repr, got)) == sorted(repr(None if none else i) for none, i in want.values())

@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegrain.session import shared_dir
 
@@ -107,7 +108,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, most_bytes: int = 8 <<
             start = stop
 
 
-def map_slices(df: DataFrame, build: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text") -> DataFrame:
+def map_slices(df: DataFrame, build: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType, text: str = "text") -> DataFrame:
     """``mapInArrow`` with bounded slices: ``build`` sees a few megabytes of text at a time."""
 
     def run(batches):

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import ascii_lower, words_of, written
+from tidegrain.llm.common import ascii_lower, small, words_of, written
 
 #: Between words, once A-Z is lower case: every ASCII character but digits and a-z.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -88,7 +88,7 @@ def occurrences(docs: DataFrame, items: DataFrame, size: int = 13) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = 13, share: int = 20) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, item_ids, contaminated), one row per document.
+    """(doc_id, text_key, n_words, n_hit, n_items, item_ids, contaminated), one row per document; text_key is the XXH64 of the text.
 
     n_hit counts the words inside any occurrence of a window; item_ids are the ids, as strings in order, of the items with one.
     A document is contaminated if it has hits and ``share`` * n_hit >= n_words. Null and empty texts have no words; items without
@@ -109,9 +109,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 13, share: int
     rows = rows.join(named, F.col("doc_id").eqNullSafe(F.col("named_id")) & (F.col("key") == F.col("named_key")), "left")
     n_hit, ids = F.coalesce("n_hit", F.lit(0).cast("long")), F.coalesce("item_ids", F.array().cast("array<string>"))
     return rows.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"),
+        "doc_id", F.col("key").alias("text_key"), "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"),
         ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"))
 
 
+def keep_clean(docs: DataFrame, items: DataFrame, size: int = 13, share: int = 20) -> DataFrame:
+    """The documents that aren't contaminated."""
+    dirty = decontaminate(docs, items, size, share).where("contaminated").select(F.col("doc_id").alias("dirty_id"), F.col("text_key").alias("dirty_key"))
+    dirty = written(dirty.distinct(), "contaminated")
+    return docs.join(small(dirty), docs["doc_id"].eqNullSafe(dirty["dirty_id"]) & (F.xxhash64(docs["text"]) == dirty["dirty_key"]), "left_anti")
+
+
 def digests(result: DataFrame) -> DataFrame:
     return result.withColumn("items_sha256", F.sha2(F.array_join("item_ids", ","), 256)).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")

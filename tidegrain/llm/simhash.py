@@ -15,10 +15,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidegrain.llm.common import map_slices, small, texts_of, written
+from tidegrain.llm.common import free_name, map_slices, small, texts_of, written
 from tidegrain.llm.components import connected_components
 
 #: Fixed values: (bits, generator polynomial, errors corrected) of the Golay and the Hamming code.
@@ -44,14 +45,15 @@ def fingerprint(words: list[bytes], shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of every whole text; fp is the fingerprint as a signed long."""
+def with_fingerprints(docs: DataFrame, name: str = "fp", shingle: int = 3) -> DataFrame:
+    """The columns of ``docs`` and, as ``name``, the fingerprint of every whole text as a signed long."""
+    at = docs.columns.index("text")
 
     def build(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values = [fingerprint(t.lower().split(), shingle) for t in texts_of(batch.column("text"))]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.array(values, np.uint64).view(np.int64))], ["doc_id", "fp"])
+        values = [fingerprint(t.lower().split(), shingle) for t in texts_of(batch.column(at))]
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.array(values, np.uint64).view(np.int64))], [*batch.schema.names, name])
 
-    return map_slices(docs.select("doc_id", "text"), build, "doc_id long, fp long")
+    return map_slices(docs, build, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 @cache
@@ -188,6 +190,19 @@ def links(fps: DataFrame, threshold: int = 2, piece: int = PIECE) -> DataFrame:
     return plain.unionByName(_compare(dealt, ["anchor", "a", "b"], threshold)).distinct()
 
 
+def grouped(docs: DataFrame, threshold: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of all documents, and (fp, root, component_id) of the distinct fingerprints; root is the group's least fingerprint."""
+    rows = written(with_fingerprints(docs.select("doc_id", "text"), "fp", shingle).select("doc_id", "fp"), "fingerprints")
+    classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    roots = written(connected_components(links(classes, threshold)), "roots")
+    linked = roots.join(classes, roots["node"] == classes["fp"]).select("fp", "root", "least")
+    linked = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(F.col("fp").alias("linked_fp"), "root", "component_id")
+    classes = classes.join(linked, F.col("fp") == F.col("linked_fp"), "left")
+    alone = F.col("linked_fp").isNull()
+    classes = classes.select("fp", F.coalesce("root", "fp").alias("root"), F.when(alone, F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
+    return rows, written(classes, "components")  # read back, so that a join with all rows can be split where a fingerprint is hot
+
+
 def near_duplicates(docs: DataFrame, threshold: int = 2, shingle: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per document.
 
@@ -196,12 +211,28 @@ def near_duplicates(docs: DataFrame, threshold: int = 2, shingle: int = 3) -> Da
     doc_id reachable through links of at most ``threshold`` bits; null ids count as documents but never as the smallest, so
     component_id is null only if the component has no id. Repeated rows give repeated results. Other columns are not read.
     """
-    rows = written(fingerprints(docs, shingle), "fingerprints")
-    classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = written(connected_components(links(classes, threshold)), "roots")
-    linked = roots.join(classes, roots["node"] == classes["fp"]).select("fp", "root", "least")
-    linked = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    classes = classes.join(linked.withColumnRenamed("fp", "linked_fp"), F.col("fp") == F.col("linked_fp"), "left")
-    classes = classes.select("fp", F.when(F.col("linked_fp").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
-    classes = written(classes, "components")  # read back, so that the join with all rows can be split where a fingerprint is hot
+    rows, classes = grouped(docs, threshold, shingle)
     return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, threshold: int = 2, shingle: int = 3) -> DataFrame:
+    """The documents with one left of each group, that with the smallest doc_id; of rows that share it, the first by fingerprint and text."""
+    fp, root = free_name("keep_fp", docs.columns), free_name("keep_root", docs.columns)
+    rows, classes = grouped(docs, threshold, shingle)
+    found = written(rows.join(classes, "fp").select("doc_id", "fp", "root", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays")), "groups")
+    marked = with_fingerprints(docs, fp, shingle)
+
+    def same(other: DataFrame):
+        return marked["doc_id"].eqNullSafe(other["other_id"]) & (marked[fp] == other["other_fp"])
+
+    ids = [F.col("doc_id").alias("other_id"), F.col("fp").alias("other_fp")]
+    gone = written(found.where("NOT stays").select(*ids).distinct(), "dropped")
+    kept = marked.join(small(gone), same(gone), "left_anti")
+    tied = written(found.where("stays").groupBy("root").agg(F.count("*").alias("n")).where("n > 1"), "tied-groups")
+    if tied.isEmpty():
+        return kept.select(*docs.columns)
+    rivals = written(found.where("stays").join(tied, "root").select(*ids, F.col("root").alias(root)).distinct(), "tied-rows")
+    order = Window.partitionBy(root).orderBy(fp, "text")
+    number = free_name("keep_no", docs.columns)
+    first = marked.join(small(rivals), same(rivals)).withColumn(number, F.row_number().over(order)).where(F.col(number) == 1)
+    return kept.join(small(rivals), same(rivals), "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))
