@@ -95,7 +95,7 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], text: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of one slice hold ``most_bytes`` at most, or one row."""
     for batch in batches:
         if batch.num_rows == 0:

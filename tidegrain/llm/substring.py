@@ -1,6 +1,6 @@
 """Removal of long passages repeated across documents: a count-min prefilter, then exact grouping of the windows it lets through.
 
-Pass 1. A window of ``size`` words is filed under its least k-word hash, so a document files some 5 % as many keys as it has windows,
+Pass 1. A window of ``size`` words is filed under its least k-word hash, so a document files some 8 % as many keys as it has windows,
 each once. Every partition counts its keys in a sketch of DEPTH rows; the sketches are added up. A cell holds at least the
 number of documents with a window that falls on it, so the estimate (the least cell of a window) is never below the true count.
 Pass 2. Only windows estimated to be in two or more documents are shuffled, grouped by a 128-bit hash of their words, and each is
@@ -25,7 +25,7 @@ DEPTH, WIDTH_BITS, CHUNK_BITS = 2, 26, 20
 ROWS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 #: Words of the hashes whose least one files a window.
-GRAM = 8
+GRAM = 25
 
 HASHES = WordHashes()
 ONE = np.ones(1, np.uint64)
@@ -80,7 +80,7 @@ def sketch(docs: DataFrame, size: int, width_bits: int) -> np.ndarray:
                 if len(words) >= size:
                     held.append(np.unique(window_keys(HASHES.of(words), size)))
                     n += len(held[-1])
-            if n > 2_000_000:
+            if n > 1_000_000:
                 yield flush(held)
                 held, n = [], 0
         if held:
@@ -141,7 +141,7 @@ def repeated_windows(docs: DataFrame, size: int, width_bits: int) -> DataFrame:
     found = map_slices(docs.where("doc_id IS NOT NULL"), build, "doc_id long, text_key long, pos long, h1 long, h2 long")
     found = written(found, "windows")
     first = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
-    first = first.where("first_id < last_id").drop("last_id")
+    first = written(first.where("first_id < last_id").drop("last_id"), "first-windows")  # read back, so that the join can be split where a window is hot
     return found.join(first, ["h1", "h2"]).where("first_id < doc_id").select("doc_id", "text_key", "pos")
 
 
