@@ -45,8 +45,8 @@ def corpus(rng, size):
 def test_window_keys_are_window_minima():
     x = np.random.default_rng(1).integers(0, 2**64, 300, dtype=np.uint64)
     for size in (1, 5, 8, 9, 13, 50):
-        grams = substring.rolling(x, min(8, size), substring.BASES[0])
-        span = size - min(8, size) + 1
+        grams = substring.rolling(x, min(substring.GRAM, size), substring.BASES[0])
+        span = size - min(substring.GRAM, size) + 1
         assert (substring.window_keys(x, size) == [grams[i : i + span].min() for i in range(300 - size + 1)]).all()
     assert (substring.rolling(np.tile(x[:60], 2), 50, substring.BASES[1])[:11] == substring.rolling(np.tile(x[:60], 2), 50, substring.BASES[1])[60:]).all()
 
