@@ -5,9 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrain.llm import contamination, exact_stream, language, mixing, simhash, substring, token_files, warc
+from tidegrain.llm import contamination, exact_stream, language, mixing, pseudonyms, simhash, substring, token_files, warc
 from tidegrain.llm.common import crc_mod, table
 
+#: Key of the registered query; a real job passes its own secret.
+PSEUDONYM_KEY = b"tidegrain example key"
 #: The public byte-level BPE; its path is a parameter of the operator.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -31,6 +33,10 @@ def op5_decontaminate(spark: SparkSession, root: str) -> DataFrame:
     return contamination.digests(contamination.decontaminate(table(spark, root, "documents"), table(spark, root, "benchmark")))
 
 
+def op6_pseudonymize(spark: SparkSession, root: str) -> DataFrame:
+    return pseudonyms.counted(pseudonyms.pseudonymize(table(spark, root, "documents"), PSEUDONYM_KEY))
+
+
 def op7_token_files(spark: SparkSession, root: str) -> DataFrame:
     return token_files.round_trip(table(spark, root, "documents"), TOKENIZER)
 
@@ -47,7 +53,7 @@ def op10_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return substring.digests(substring.remove_repeated(table(spark, root, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_exact_dedup, op4_language_id, op5_decontaminate, op7_token_files, op8_simhash_near_dedup, op9_warc_split_reader, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_exact_dedup, op4_language_id, op5_decontaminate, op6_pseudonymize, op7_token_files, op8_simhash_near_dedup, op9_warc_split_reader, op10_substring_dedup)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
