@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrain.llm import contamination, exact_stream, language, mixing, pseudonyms, simhash, substring, token_files, warc
+from tidegrain.llm import contamination, exact_stream, interpolation, language, mixing, pseudonyms, simhash, substring, token_files, warc
 from tidegrain.llm.common import crc_mod, table
 
 #: Key of the registered query; a real job passes its own secret.
@@ -14,6 +14,12 @@ PSEUDONYM_KEY = b"tidegrain example key"
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_deleted_interpolation(spark: SparkSession, root: str) -> DataFrame:
+    held_out, tuning = crc_mod("doc_id", 7) == 2, crc_mod("doc_id", 7) == 6
+    found = interpolation.score(spark, f"{root.rstrip('/')}/documents.parquet", ~held_out, tuning)
+    return found.withColumn("held_out", crc_mod("doc_id", 7) == 2)
+
+
 def op2_mix_sources(spark: SparkSession, root: str) -> DataFrame:
     return mixing.shares(table(spark, root, "documents"))
 
@@ -53,7 +59,9 @@ def op10_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return substring.digests(substring.remove_repeated(table(spark, root, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_exact_dedup, op4_language_id, op5_decontaminate, op6_pseudonymize, op7_token_files, op8_simhash_near_dedup, op9_warc_split_reader, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_deleted_interpolation, op2_mix_sources, op3_exact_dedup, op4_language_id, op5_decontaminate, op6_pseudonymize, op7_token_files, op8_simhash_near_dedup, op9_warc_split_reader,
+    op10_substring_dedup)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 

@@ -14,11 +14,10 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import new_folder, slices, small, written
+from tidegrain.llm.common import new_folder, slices, small, storage, written
 
 MAGIC = b"\x1f\x8b\x08"
 #: Names and version line of the WARC 1.1 format.
@@ -27,15 +26,6 @@ ARCHIVE_BYTES, SPLIT_BYTES, READ_BYTES = 512 << 20, 16 << 20, 1 << 20
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
 
-def storage(path: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a location that every executor reaches (a URI, or a plain path)."""
-    if "://" not in path and not path.startswith("file:"):
-        return pafs.LocalFileSystem(), path
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-
-
 def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
