@@ -77,10 +77,10 @@ ORACLE_SQL = {
         t AS (SELECT *, least(CAST(3 * source_size AS DOUBLE), max(lv) OVER () * weight) AS target FROM l),
         q AS (SELECT *, least(CAST(floor(target + 0.5) AS BIGINT), 3 * source_size) AS quota FROM t),
         p AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.quota, CAST(sum(d.size) OVER (
-                  PARTITION BY sid ORDER BY md5(concat_ws(':', 'mix', CAST(d.doc_id AS VARCHAR), CAST(d.size AS VARCHAR))), d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS BIGINT) AS at
+                  PARTITION BY sid ORDER BY md5(concat_ws(':', 'mix', CAST(d.doc_id AS VARCHAR), CAST(d.size AS VARCHAR))), d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS BIGINT) AS pos
               FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
         SELECT doc_id, size, source_size, target,
-               CAST(CASE WHEN size = 0 THEN 0 ELSE quota // source_size * size + greatest(0, least(at + size, quota % source_size) - at) END AS BIGINT) AS taken FROM p""",
+               CAST(CASE WHEN size = 0 THEN 0 ELSE quota // source_size * size + greatest(0, least(pos + size, quota % source_size) - pos) END AS BIGINT) AS taken FROM p""",
     "op3_exact_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -103,10 +103,10 @@ ORACLE_SQL = {
     "op9_warc_split_reader": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
         g AS (SELECT h, max(page_id) AS last_id FROM p GROUP BY h),
-        x AS (SELECT h, last_id, list_transform(range(0, 8), a -> list_sum(list_transform(range(1, 6), b ->
+        x AS (SELECT h, last_id, list_transform(range(0, 8), lambda a: list_sum(list_transform(range(1, 6), lambda b:
                  (strpos('0123456789abcdef', substr(sha1(h), 5 * a + b, 1)) - 1) * CAST(pow(16, 5 - b) AS BIGINT)))) AS v FROM g)
         SELECT page_id, CAST(octet_length(encode(p.h)) AS BIGINT) AS payload_bytes,
-               array_to_string(list_transform(range(0, 32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v[k // 4 + 1] // CAST(pow(2, 15 - 5 * (k % 4)) AS BIGINT) % 32 + 1 AS BIGINT), 1)), '') AS payload_digest,
+               array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v[k // 4 + 1] // CAST(pow(2, 15 - 5 * (k % 4)) AS BIGINT) % 32 + 1 AS BIGINT), 1)), '') AS payload_digest,
                CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last_id THEN last_id END AS refers_to
         FROM p JOIN x ON p.h = x.h""",
     "op10_substring_dedup": rf"""
