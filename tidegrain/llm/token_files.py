@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,43 +29,68 @@ SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>
 END = 0
 
 
+def byte_alphabet() -> dict[int, int]:
+    """The character by which byte-level BPE writes each byte: printable ones stand for themselves, the rest follow from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(rest)}
+
+
 class Encoder:
     """Byte-level BPE of the tokenizers library, with the ids of words kept.
 
-    The tokenizer's pattern always begins a new piece at a single space between two characters that aren't white space, so a text
-    can be cut there and the parts encoded one by one.
+    The tokenizer's pattern always begins a new piece at a single space between two characters that aren't white space, and between
+    letters and the punctuation behind them. So a text is cut there and the parts are encoded one by one; a part of letters is one
+    piece and goes to the library's BPE model directly.
     """
 
     CUT = re.compile(r"(?<=\S)(?= \S)")
+    TAIL, LONGEST = ".,;:!?", 64
 
     class Kept(dict):
-        """Ids of ``prefix`` + part as little-endian bytes; None where the text must not be cut at the part's ends."""
+        """Ids of parts as little-endian bytes; ``spaced``: with a space before them, None where the text must not be cut at their ends."""
 
-        def __init__(self, encode, prefix: str, limit: int = 600_000):
+        def __init__(self, encoder: "Encoder", spaced: bool):
             super().__init__()
-            self.encode, self.prefix, self.limit = encode, prefix, limit
+            self.encoder, self.spaced = encoder, spaced
 
         def __missing__(self, part: str) -> bytes | None:
-            if self.prefix and (not part or part[0].isspace() or part[-1].isspace()):
-                return None
-            value = self.encode(self.prefix + part)
-            if len(part) <= 64:
-                if len(self) >= self.limit:
+            value = self.encoder.part(part, self.spaced)
+            if len(part) <= Encoder.LONGEST:
+                if len(self) >= self.encoder.limit:
                     self.clear()
                 self[part] = value
             return value
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole, self.spaced = self.Kept(self.direct, ""), self.Kept(self.direct, " ")
+        self.bpe, self.alphabet = self.tokenizer.model.tokenize, byte_alphabet()
+        self.line = self.direct("\n")
+        self.whole, self.spaced = self.Kept(self, False), self.Kept(self, True)
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
 
+    def part(self, part: str, spaced: bool) -> bytes | None:
+        """Ids of a part, with a space before it if ``spaced``; None if a text must not be cut at its ends."""
+        space = " " if spaced else ""
+        if part.isalpha():
+            return array("i", [t.id for t in self.bpe((space + part).encode().decode("latin-1").translate(self.alphabet))]).tobytes()
+        if spaced and (not part or part[0].isspace() or part[-1].isspace()):
+            return None
+        if "\n" in part:  # a single line break between other characters is a piece of its own
+            first, *rest = part.split("\n")
+            if first and not first[-1].isspace() and all(x and not x[0].isspace() and not x[-1].isspace() for x in rest):
+                return (self.spaced if spaced else self.whole)[first] + b"".join(self.line + self.whole[x] for x in rest)
+        stem = part.rstrip(self.TAIL)
+        if stem != part and stem.isalpha():
+            return (self.spaced if spaced else self.whole)[stem] + self.whole[part[len(stem):]]
+        return self.direct(space + part)
+
     def __call__(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit integers."""
         if any(s in text for s in self.special):
@@ -94,13 +120,12 @@ def write(docs: DataFrame, folder: str, tokenizer: str) -> None:
     """
 
     def run(batches):
-        encode, total = encoder(tokenizer), 0
+        encode, total, last = encoder(tokenizer), 0, END.to_bytes(4, "little")
         for batch in slices(batches, "text", 4 << 20):
-            ids = [np.frombuffer(encode(t or ""), "<i4") for t in batch.column("text").to_pylist()]
-            counts = np.array([len(x) + 1 for x in ids], np.int64)
+            ids = [encode(t or "") for t in batch.column("text").to_pylist()]
+            counts = np.array([len(x) // 4 + 1 for x in ids], np.int64)
             ends = np.cumsum(counts)
-            flat = np.full(ends[-1], END, np.int32)
-            flat[np.delete(np.arange(len(flat)), ends - 1)] = np.concatenate(ids)
+            flat = np.frombuffer(b"".join(x + last for x in ids), "<i4")
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("part"), pa.array(total + ends - counts), pa.array(counts), lists], ["doc_id", "part", "local_start", "n_tokens", "ids"])
