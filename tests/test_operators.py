@@ -77,7 +77,7 @@ def test_closure_and_cycle(spark, rows):
     tree = spark.createDataFrame([(0, None), (1, 0), (2, 1), (3, 1), (9, None)], "id int, up int")
     assert rows(J.closure(tree, "id", "up")) == sorted([(0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 3, 0), (9, 9, 0), (0, 1, 1), (1, 2, 1), (1, 3, 1), (0, 2, 2), (0, 3, 2)], key=repr)
     with pytest.raises(ValueError):
-        J.closure(spark.createDataFrame([(1, 2), (2, 1)], "id int, up int"), "id", "up", max_depth=3)
+        J.closure(spark.createDataFrame([(1, 2), (2, 1)], "id int, up int"), "id", "up")
 
 
 def test_asof_carries_over_blocks(spark):
@@ -158,3 +158,12 @@ def test_rules_count_null_as_failed(spark):
     r = Q.run_rules(df, [Q.Rule("R", "t", "x > 0", "d", "HIGH", 0.5)])
     row = Q.dq_action(r).first()
     assert (row["total"], row["failed"], row["action"], row["within_tolerance"]) == (3, 2, "BLOCK", 0)
+
+
+def test_hierarchy_of_a_thousand_levels(spark):
+    chain = spark.createDataFrame([(i, i - 1 if i else None, 1) for i in range(1000)] + [(5000, 10, 7), (5001, None, None)], "id int, up int, v bigint")
+    got = {r["node"]: (r["members"], r["depth"], r["total"]) for r in J.roll_up(chain, "id", "up", "v").collect()}
+    assert got[0] == (1000, 999, 1007) and got[10] == (990, 989, 997) and got[11] == (988, 988, 989) and got[999] == (0, 0, 1) and got[5000] == (0, 0, 7) and got[5001] == (0, 0, None)
+    assert J.closure(chain, "id", "up").count() == 1000 * 1001 // 2 + 1 + 11 + 1
+    with pytest.raises(ValueError):
+        J.roll_up(spark.createDataFrame([(1, 2, 1), (2, 3, 1), (3, 1, 1), (4, 1, 1)], "id int, up int, v bigint"), "id", "up", "v")

@@ -88,9 +88,9 @@ def default_out_of_range(c: Column, lo: float, hi: float, default: float) -> Col
 
 
 def engineering_summary(c: Column) -> list[Column]:
-    """Square root, ceiling, floor and circle area of a measure."""
+    """Square root (null below zero), ceiling, floor and circle area of a measure."""
     return [
-        F.sqrt(c).alias("square_root"),
+        F.when(c >= 0, F.sqrt(c)).alias("square_root"),
         F.ceil(c).cast("bigint").alias("ceiling"),
         F.floor(c).cast("bigint").alias("floor"),
         (F.lit(math.pi) * F.pow(c, F.lit(2.0))).alias("circle_area"),

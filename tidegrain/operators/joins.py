@@ -29,29 +29,52 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return fact.join(dim.select(key), key, "left_anti")
 
 
-def closure(df: DataFrame, child: str, parent: str, max_depth: int = 100, checkpoint_every: int = 4) -> DataFrame:
+def _ancestors(df: DataFrame, child: str, parent: str) -> DataFrame:
+    return df.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).where(F.col("_p").isNotNull())
+
+
+def _doubled(up: DataFrame, distance: int, nodes: int) -> DataFrame:
+    """Ancestors at twice the distance; ancestors further away than there are nodes mean a cycle."""
+    if distance > nodes and not up.isEmpty():
+        raise ValueError("the hierarchy has a cycle")
+    far = up.select(F.col("_c").alias("_p"), F.col("_p").alias("_q"))
+    return up.join(far, "_p").select("_c", F.col("_q").alias("_p")).checkpoint()
+
+
+def closure(df: DataFrame, child: str, parent: str) -> DataFrame:
     """(ancestor, descendant, level) pairs of a tree, each node being its own ancestor at level 0.
 
-    One equi-join per level, stopping at the first empty level; the frontier is checkpointed so that the
-    plan stays short. A depth over ``max_depth`` (a cycle, or bad data) is an error, never a cut result.
+    The levels reached double with every round, so a chain of n nodes takes log2(n) of them. A cycle is an error.
+    """
+    shared_dir(df.sparkSession)
+    out = df.select(F.col(child).alias("ancestor"), F.col(child).alias("descendant"), F.lit(0).cast("bigint").alias("level")).checkpoint()
+    up, distance, nodes = _ancestors(df, child, parent).checkpoint(), 1, out.count()
+    while not up.isEmpty():
+        higher = out.join(up, F.col("ancestor") == F.col("_c")).select(F.col("_p").alias("ancestor"), "descendant", (F.col("level") + distance).alias("level"))
+        out = out.unionByName(higher).checkpoint()
+        up, distance = _doubled(up, distance, nodes), 2 * distance
+    return out
+
+
+def roll_up(df: DataFrame, child: str, parent: str, value: str) -> DataFrame:
+    """(node, members, depth, total) of every subtree: nodes below, levels below, and the sum of ``value`` with the node's own.
+
+    One row per node at all times: with the totals over the next d levels known, those over 2d levels add the totals of the descendants
+    exactly d levels below. A cycle is an error; a parent that is no node is dropped.
     """
     shared_dir(df.sparkSession)
-    edges = df.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).where(F.col("_p").isNotNull())
-    frontier = df.select(F.col(child).alias("ancestor"), F.col(child).alias("descendant"), F.lit(0).cast("bigint").alias("level"))
-    levels = [frontier]
-    for depth in range(1, max_depth + 2):
-        frontier = frontier.join(edges, F.col("descendant") == F.col("_p")).select(
-            "ancestor", F.col("_c").alias("descendant"), (F.col("level") + 1).alias("level")
-        )
-        frontier = frontier.checkpoint()
-        if frontier.isEmpty():
-            break
-        if depth > max_depth:
-            raise ValueError(f"hierarchy deeper than {max_depth} levels or cyclic")
-        levels.append(frontier)
-    out = levels[0]
-    for part in levels[1:]:
-        out = out.unionByName(part)
+    zero = F.lit(0).cast("bigint")
+    out = df.select(F.col(child).alias("node"), zero.alias("members"), zero.alias("depth"), F.col(value).alias("total")).checkpoint()
+    kind = out.schema["total"].dataType
+    up, distance, nodes = _ancestors(df, child, parent).checkpoint(), 1, out.count()
+    while not up.isEmpty():
+        below = out.join(up, F.col("node") == F.col("_c")).groupBy("_p").agg(
+            F.sum(F.col("members") + 1).alias("_m"), (F.max("depth") + distance).alias("_d"), F.sum("total").alias("_t"))
+        # a node exactly ``distance`` below counts itself and what is known below it
+        out = out.join(below, F.col("node") == F.col("_p"), "left").select(
+            "node", (F.col("members") + F.coalesce("_m", zero)).alias("members"), F.greatest("depth", F.coalesce("_d", zero)).alias("depth"),
+            F.when(F.col("_t").isNull(), F.col("total")).otherwise(F.coalesce("total", F.lit(0)) + F.col("_t")).cast(kind).alias("total")).checkpoint()
+        up, distance = _doubled(up, distance, nodes), 2 * distance
     return out
 
 
@@ -98,27 +121,25 @@ def reconcile(system: DataFrame, physical: DataFrame, key: str, qty: str) -> Dat
     )
 
 
-def basket_pair_counts(df: DataFrame, basket: str, item: str, heavy_items: int = 200) -> dict[str, DataFrame]:
-    """Parts needed to find the best companion of each item without expanding huge baskets.
+def basket_pair_counts(df: DataFrame, basket: str, item: str, at_least: int = 2, block: int = 256) -> DataFrame:
+    """(item_a, item_b, together): pairs of items found together in ``at_least`` baskets or more.
 
-    ``light``: counted pairs from baskets of at most ``heavy_items`` distinct items.
-    ``signature``: for each item the sorted list of heavy baskets that hold it.
-    The number of common heavy baskets of two items is the size of the intersection of their signatures,
-    so a heavy basket costs one row per item instead of one row per pair.
+    Items in fewer baskets can't be in such a pair and go first. The items of a basket are dealt to blocks of about ``block`` and every
+    two blocks meet in a task of their own, so a basket of any size is spread; the pairs themselves are counted map-side first.
     """
-    pairs = df.select(basket, item).distinct()
-    sizes = pairs.groupBy(basket).agg(F.count(F.lit(1)).alias("_size"))
-    several = sizes.where("_size > 1")
-    light_rows = pairs.join(several.where(F.col("_size") <= heavy_items).select(basket), basket)
-    a, b = light_rows.alias("a"), light_rows.alias("b")
-    light = (
-        a.join(b, (F.col(f"a.{basket}") == F.col(f"b.{basket}")) & (F.col(f"a.{item}") < F.col(f"b.{item}")))
-        .groupBy(F.col(f"a.{item}").alias("item_a"), F.col(f"b.{item}").alias("item_b"))
-        .agg(F.count(F.lit(1)).alias("together"))
-    )
-    heavy_rows = pairs.join(several.where(F.col("_size") > heavy_items).select(basket), basket)
-    signature = heavy_rows.groupBy(item).agg(F.sort_array(F.collect_set(basket)).alias("signature"))
-    return {"light": light, "signature": signature}
+    shared_dir(df.sparkSession)
+    rows = df.select(F.col(basket).alias("_b"), F.col(item).alias("_i")).where(F.col(basket).isNotNull() & F.col(item).isNotNull()).distinct()
+    often = rows.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= at_least).select("_i")
+    rows = rows.join(often, "_i").checkpoint()
+    sizes = rows.groupBy("_b").agg(F.ceil(F.count(F.lit(1)) / block).cast("bigint").alias("_blocks"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    own = rows.join(sizes, "_b").withColumn("_g", F.pmod(F.xxhash64("_i"), "_blocks"))
+    cells = own.select("_b", "_i", "_g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1)).alias("_o")).select(
+        "_b", "_i", "_g", F.least("_g", "_o").alias("_x"), F.greatest("_g", "_o").alias("_y"))
+    a, b = cells.alias("a"), cells.alias("b")
+    meet = (F.col("a._b") == F.col("b._b")) & (F.col("a._x") == F.col("b._x")) & (F.col("a._y") == F.col("b._y")) & (F.col("a._i") < F.col("b._i"))
+    here = (F.least("a._g", "b._g") == F.col("a._x")) & (F.greatest("a._g", "b._g") == F.col("a._y"))
+    pairs = a.join(b, meet & here).groupBy(F.col("a._i").alias("item_a"), F.col("b._i").alias("item_b")).agg(F.count(F.lit(1)).alias("together"))
+    return pairs.where(F.col("together") >= at_least)
 
 
 def both_ways(df: DataFrame, a: str, b: str, origin: str, other: str) -> DataFrame:
@@ -130,52 +151,11 @@ def both_ways(df: DataFrame, a: str, b: str, origin: str, other: str) -> DataFra
     return df.select(*rest, F.explode(way).alias("_w")).select(F.col("_w.o").alias(origin), F.col("_w.x").alias(other), *rest)
 
 
-def best_companion(df: DataFrame, basket: str, item: str, at_least: int = 2, heavy_items: int = 200) -> DataFrame:
-    """Item most often in the same basket (lowest id on a tie), for items with a partner seen ``at_least`` times.
-
-    Exact for any basket size: a partner either shares a light basket (its pair count plus the common heavy
-    baskets), or shares heavy baskets only, where all items of one signature score alike and the two
-    lowest ids of each signature are enough.
-    """
-    parts = basket_pair_counts(df, basket, item, heavy_items)
-    sig = parts["signature"]
-    common = F.coalesce(F.size(F.array_intersect("sig_o", "sig_x")), F.lit(0))
-    light = both_ways(parts["light"], "item_a", "item_b", "origin", "companion")
-    light = (
-        light.join(sig.select(F.col(item).alias("origin"), F.col("signature").alias("sig_o")), "origin", "left")
-        .join(sig.select(F.col(item).alias("companion"), F.col("signature").alias("sig_x")), "companion", "left")
-        .select("origin", "companion", (F.col("together") + F.when(F.col("sig_o").isNotNull() & F.col("sig_x").isNotNull(), common).otherwise(0)).alias("together"))
-    )
-    # heavy side: groups of items with the same signature, never pairs of items
-    groups = sig.groupBy("signature").agg(F.min(item).alias("low"), F.max(item).alias("high"))
-    second = (
-        sig.join(groups.where("low <> high").select("signature", "low"), "signature")
-        .where(F.col(item) > F.col("low")).groupBy("signature").agg(F.min(item).alias("second"))
-    )
-    groups = groups.select("signature", "low").join(second, "signature", "left")
-    held = groups.select("signature", "low", "second", F.explode("signature").alias("_h"))
-    left = held.select(F.col("signature").alias("sig_o"), "_h")
-    right = held.select(F.col("signature").alias("sig_x"), "low", "second", "_h")
-    scores = left.join(right, "_h").groupBy("sig_o", "sig_x", "low", "second").agg(F.count(F.lit(1)).alias("together"))
-    reach = scores.select(
-        "sig_o", "together", F.explode(F.filter(F.array("low", "second"), lambda x: x.isNotNull())).alias("companion")
-    )
-    # two best candidates per signature: one of them may be the item itself
-    reach = first_two(reach)
-    heavy = (
-        sig.select(F.col(item).alias("origin"), F.col("signature").alias("sig_o"))
-        .join(reach, "sig_o")
-        .where("origin <> companion")
-        .select("origin", "companion", F.col("together").cast("bigint"))
-    )
-    every = light.unionByName(heavy).where(F.col("together") >= at_least)
+def best_companion(df: DataFrame, basket: str, item: str, at_least: int = 2, block: int = 256) -> DataFrame:
+    """Item most often in the same basket (lowest id on a tie), for items with a partner seen ``at_least`` times."""
+    both = both_ways(basket_pair_counts(df, basket, item, at_least, block), "item_a", "item_b", "origin", "companion")
     w = W.partitionBy("origin").orderBy(F.col("together").desc(), F.col("companion").asc())
-    return every.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
-
-
-def first_two(reach: DataFrame) -> DataFrame:
-    w = W.partitionBy("sig_o").orderBy(F.col("together").desc(), F.col("companion").asc())
-    return reach.withColumn("_r", F.row_number().over(w)).where("_r <= 2").drop("_r")
+    return both.select("origin", "companion", "together").withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
 def not_in(df: DataFrame, key: str, values: DataFrame, value: str) -> DataFrame:

@@ -103,9 +103,9 @@ def third_link(t: Tables, k: int = 3) -> DataFrame:
     return t.raw("pages").select("page_id", F.size(X.links_of(html)).cast("bigint").alias("links"), X.kth_link(html, k).alias("third_link"))
 
 
-@job("engineering_summary", "SELECT supplier.s_suppkey AS id, sqrt(s_acctbal) AS square_root, CAST(ceil(s_acctbal) AS BIGINT) AS ceiling, CAST(floor(s_acctbal) AS BIGINT) AS floor, pi() * pow(s_acctbal, 2.0) AS circle_area FROM supplier WHERE s_acctbal >= 0")
+@job("engineering_summary", "SELECT supplier.s_suppkey AS id, CASE WHEN s_acctbal >= 0 THEN sqrt(abs(s_acctbal)) END AS square_root, CAST(ceil(s_acctbal) AS BIGINT) AS ceiling, CAST(floor(s_acctbal) AS BIGINT) AS floor, pi() * pow(s_acctbal, 2.0) AS circle_area FROM supplier")
 def engineering_cols(t: Tables) -> DataFrame:
-    return t.raw("supplier").where("s_acctbal >= 0").select(F.col("s_suppkey").alias("id"), *engineering_summary(F.col("s_acctbal")))
+    return t.raw("supplier").select(F.col("s_suppkey").alias("id"), *engineering_summary(F.col("s_acctbal")))
 
 
 @job("safe_energy", f"""SELECT event_id, CASE WHEN event_id % 8 = 1 THEN 'MISSING_NUMBER' WHEN event_id % 8 = 2 THEN 'BAD_NUMBER' WHEN event_id % 8 = 3 THEN 'ZERO_DIVISOR' ELSE 'OK' END AS code,

@@ -234,12 +234,12 @@ def premium_tracks(t: Tables) -> DataFrame:
     )
 
 
-@job("orphans_artist", """SELECT e.employee_id AS artist_id, coalesce(e.name,'Unknown Artist') AS artist_name FROM v_employee e
-WHERE NOT EXISTS (SELECT 1 FROM v_line l WHERE l.artist_id = e.employee_id AND l.line_total > 104500)""")
+@job("orphans_artist", """SELECT e.employee_id AS artist_id, coalesce(e.name,'Unknown Artist') AS artist_name FROM v_artist e
+WHERE NOT EXISTS (SELECT 1 FROM v_line l WHERE l.artist_id = e.employee_id)""")
 def orphans_artist(t: Tables) -> DataFrame:
-    """Artists without a (large) sale: anti-join."""
-    sold = t.lines.where("line_total > 104500").select(F.col("artist_id").alias("employee_id"))
-    return t.employees.join(sold, "employee_id", "left_anti").select(
+    """Artists without a sale: anti-join."""
+    sold = t.lines.select(F.col("artist_id").alias("employee_id"))
+    return t.artists.join(sold, "employee_id", "left_anti").select(
         F.col("employee_id").alias("artist_id"), F.coalesce("name", F.lit("Unknown Artist")).alias("artist_name")
     ).orderBy("artist_name")
 
@@ -385,14 +385,14 @@ def sales_summary(t: Tables) -> DataFrame:
     return t.spark.table("v_global_sales_summary").orderBy(F.col("sales_year").desc(), F.col("total_revenue").desc())
 
 
-@job("artist_clean", """WITH c AS (SELECT DISTINCT employee_id AS artist_id, trim(coalesce(name,'Unknown Artist')) AS clean_name FROM v_employee e
-WHERE EXISTS (SELECT 1 FROM v_line l WHERE l.artist_id = e.employee_id AND l.quantity >= 50))
+@job("artist_clean", """WITH c AS (SELECT DISTINCT employee_id AS artist_id, trim(coalesce(name,'Unknown Artist')) AS clean_name FROM v_artist e
+WHERE EXISTS (SELECT 1 FROM v_line l WHERE l.artist_id = e.employee_id))
 SELECT artist_id, clean_name, upper(clean_name) AS professional_format FROM c WHERE clean_name NOT ILIKE 'unknown%'""")
 def artist_clean(t: Tables) -> DataFrame:
     """Artists with sales, cleaned once into a frozen table and formatted from it."""
-    sold = t.lines.where("quantity >= 50").select(F.col("artist_id").alias("employee_id"))
+    sold = t.lines.select(F.col("artist_id").alias("employee_id"))
     frozen = t.staged("tmp_artist_clean", lambda: (
-        t.employees.join(sold, "employee_id", "left_semi")
+        t.artists.join(sold, "employee_id", "left_semi")
         .select(F.col("employee_id").alias("artist_id"), F.trim(F.coalesce("name", F.lit("Unknown Artist"))).alias("clean_name"))
         .distinct()
     ))

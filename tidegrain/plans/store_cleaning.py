@@ -403,18 +403,20 @@ def fact_sales_totals(t: Tables) -> DataFrame:
     )
 
 
-# Expected row counts of the smallest test size.
-EXPECTED = {"region": 5, "nation": 25, "customer": 150, "supplier": 10, "part": 200, "orders": 1500, "lineitem": 6000, "events": 1000}
+# Rows of each table that a customer list of a given size leads to, as (fixed rows, rows per 30 customers).
+EXPECTED = {"region": (5, 0), "nation": (25, 0), "customer": (0, 30), "supplier": (0, 2), "part": (0, 40), "orders": (0, 300), "lineitem": (0, 1200), "events": (0, 200)}
 
 
 @job("sanity_counts", " UNION ALL ".join(
-    f"SELECT '{n}' AS table_name, count(*) AS current_rows, CAST({e} AS BIGINT) AS expected, count(*) - {e} AS diff FROM {n}" for n, e in EXPECTED.items()))
-def sanity_counts(t: Tables) -> DataFrame:
-    """Row counts against expected baselines."""
+    f"SELECT '{n}' AS table_name, count(*) AS current_rows, CAST({a} + c.n * {b} // 30 AS BIGINT) AS expected, CAST(count(*) - ({a} + c.n * {b} // 30) AS BIGINT) AS diff FROM {n}, (SELECT count(*) AS n FROM customer) c GROUP BY c.n"
+    for n, (a, b) in EXPECTED.items()))
+def sanity_counts(t: Tables, baseline: dict[str, tuple[int, int]] = EXPECTED) -> DataFrame:
+    """Row counts against the baseline for the customers there are."""
+    customers = t.raw("customer").agg(F.count(F.lit(1))).scalar()
     out = None
-    for name, expected in EXPECTED.items():
+    for name, (fixed, per) in baseline.items():
         n = t.raw(name).agg(F.count(F.lit(1)).alias("current_rows")).select(
-            F.lit(name).alias("table_name"), "current_rows", F.lit(expected).cast("bigint").alias("expected"), (F.col("current_rows") - expected).alias("diff")
-        )
+            F.lit(name).alias("table_name"), "current_rows", (F.lit(fixed) + F.floor(customers * per / 30)).cast("bigint").alias("expected"))
+        n = n.withColumn("diff", F.col("current_rows") - F.col("expected"))
         out = n if out is None else out.unionByName(n)
     return out

@@ -98,17 +98,18 @@ def basket_pairs(t: Tables) -> DataFrame:
 
 
 @job("covers_all", """SELECT c.customer_id, c.first_name || ' ' || c.last_name AS customer, c.country,
-(SELECT count(DISTINCT t.genre) FROM v_invoice i JOIN v_line l ON l.invoice_id = i.invoice_id JOIN v_track t ON t.track_id = l.track_id WHERE i.customer_id = c.customer_id AND l.quantity > 40) AS distinct_genres,
-(SELECT CAST(sum(l.line_total) AS DOUBLE) FROM v_invoice i JOIN v_line l ON l.invoice_id = i.invoice_id WHERE i.customer_id = c.customer_id AND l.quantity > 40) AS total_spent
-FROM v_customer c WHERE (SELECT count(DISTINCT t.genre) FROM v_invoice i JOIN v_line l ON l.invoice_id = i.invoice_id JOIN v_track t ON t.track_id = l.track_id
-WHERE i.customer_id = c.customer_id AND l.quantity > 40) = (SELECT count(DISTINCT genre) FROM v_track)""")
-def covers_all(t: Tables, least_quantity: int = 40) -> DataFrame:
-    """Customers who bought every genre in large quantities (relational division)."""
-    pairs = _genre_spend(t, t.lines.where(F.col("quantity") > least_quantity)).withColumnRenamed("genre_spend", "s")
-    all_of = J.divide(pairs, "customer_id", "genre", t.tracks)
-    totals = pairs.groupBy("customer_id").agg(F.count("genre").alias("distinct_genres"), dbl(F.sum("s")).alias("total_spent"))
+(SELECT count(DISTINCT t.media_type) FROM v_invoice i JOIN v_line l ON l.invoice_id = i.invoice_id JOIN v_track t ON t.track_id = l.track_id WHERE i.customer_id = c.customer_id) AS distinct_formats,
+(SELECT CAST(sum(l.line_total) AS DOUBLE) FROM v_invoice i JOIN v_line l ON l.invoice_id = i.invoice_id WHERE i.customer_id = c.customer_id) AS total_spent
+FROM v_customer c WHERE (SELECT count(DISTINCT t.media_type) FROM v_invoice i JOIN v_line l ON l.invoice_id = i.invoice_id JOIN v_track t ON t.track_id = l.track_id
+WHERE i.customer_id = c.customer_id) = (SELECT count(DISTINCT media_type) FROM v_track)""")
+def covers_all(t: Tables) -> DataFrame:
+    """Customers who bought every format (relational division over all purchases)."""
+    rows = t.lines.select("invoice_id", "track_id", "line_total").join(t.tracks.select("track_id", "media_type"), "track_id")
+    pairs = _sold(t, rows).groupBy("customer_id", "media_type").agg(F.sum("line_total").alias("s"))
+    all_of = J.divide(pairs, "customer_id", "media_type", t.tracks)
+    totals = pairs.groupBy("customer_id").agg(F.count("media_type").alias("distinct_formats"), dbl(F.sum("s")).alias("total_spent"))
     return totals.join(all_of, "customer_id", "left_semi").join(_names(t), "customer_id").select(
-        "customer_id", "customer", "country", "distinct_genres", "total_spent"
+        "customer_id", "customer", "country", "distinct_formats", "total_spent"
     ).orderBy(F.col("total_spent").desc())
 
 
@@ -139,14 +140,13 @@ v AS (SELECT c.support_rep_id AS employee_id, sum(l.line_total) AS s FROM v_cust
 r AS (SELECT j.manager_id, count(DISTINCT CASE WHEN sub_id <> manager_id THEN sub_id END) AS n, max(lvl) AS d, sum(coalesce(v.s, 0)) AS s FROM j LEFT JOIN v ON v.employee_id = j.sub_id GROUP BY 1)
 SELECT e.name AS manager, r.n AS subordinates, CAST(r.d AS BIGINT) AS max_depth, CAST(r.s AS DOUBLE) AS team_sales FROM r JOIN v_employee e ON e.employee_id = r.manager_id WHERE r.n > 0""")
 def team_sales(t: Tables) -> DataFrame:
-    """Team size, depth and sales of every manager over the closure of the hierarchy."""
-    tree = J.closure(t.employees, "employee_id", "reports_to")
+    """Team size, depth and sales of every manager, rolled up the hierarchy with one row per employee."""
     per_inv = t.lines.groupBy("invoice_id").agg(F.sum("line_total").alias("s"))
     per_cust = per_inv.join(t.invoices.select("invoice_id", "customer_id"), "invoice_id").groupBy("customer_id").agg(F.sum("s").alias("s"))
-    sales = per_cust.join(t.customers.select("customer_id", "support_rep_id"), "customer_id").groupBy(F.col("support_rep_id").alias("descendant")).agg(F.sum("s").alias("s"))
-    teams = tree.join(sales, "descendant", "left").groupBy(F.col("ancestor").alias("employee_id")).agg(
-        (F.count(F.lit(1)) - 1).alias("subordinates"), F.max("level").alias("max_depth"), F.coalesce(F.sum("s"), F.lit(0)).alias("s")
-    )
+    sales = per_cust.join(t.customers.select("customer_id", "support_rep_id"), "customer_id").groupBy(F.col("support_rep_id").alias("employee_id")).agg(F.sum("s").alias("s"))
+    nodes = t.employees.select("employee_id", "reports_to").join(sales, "employee_id", "left").withColumn("s", F.coalesce("s", F.lit(0)))
+    teams = J.roll_up(nodes, "employee_id", "reports_to", "s").select(
+        F.col("node").alias("employee_id"), F.col("members").alias("subordinates"), F.col("depth").alias("max_depth"), F.col("total").alias("s"))
     return teams.where("subordinates > 0").join(t.employees, "employee_id").select(
         F.col("name").alias("manager"), "subordinates", "max_depth", dbl("s").alias("team_sales")
     ).orderBy(F.col("team_sales").desc())
@@ -268,15 +268,19 @@ def vs_global_mean(t: Tables) -> DataFrame:
     )
 
 
-@job("existing_categories", "SELECT e.name FROM v_employee e WHERE EXISTS (SELECT 1 FROM v_line l WHERE l.artist_id = e.employee_id AND l.line_total > 104500)")
+@job("existing_categories", "SELECT e.name FROM v_artist e WHERE EXISTS (SELECT 1 FROM v_line l WHERE l.artist_id = e.employee_id)")
 def existing_categories(t: Tables) -> DataFrame:
-    sold = t.lines.where("line_total > 104500").select(F.col("artist_id").alias("employee_id"))
-    return t.employees.join(sold, "employee_id", "left_semi").select("name")
+    sold = t.lines.select(F.col("artist_id").alias("employee_id"))
+    return t.artists.join(sold, "employee_id", "left_semi").select("name")
 
 
-@job("empty_categories", "SELECT DISTINCT genre FROM v_track g WHERE NOT EXISTS (SELECT 1 FROM v_track t WHERE t.genre = g.genre AND t.unit_price > 999.75)")
+@job("empty_categories", """WITH g AS (SELECT DISTINCT genre FROM v_track), a AS (SELECT genre FROM g UNION ALL SELECT 'NEW ' || genre FROM g)
+SELECT genre FROM a WHERE NOT EXISTS (SELECT 1 FROM v_track t WHERE t.genre = a.genre)""")
 def empty_categories(t: Tables) -> DataFrame:
-    return t.tracks.select("genre").distinct().join(t.tracks.where("unit_price > 999.75").select("genre"), "genre", "left_anti")
+    """Genres of the catalogue plan (every genre and a new one planned beside it) without a track."""
+    known = t.tracks.select("genre").distinct()
+    planned = known.unionByName(known.select(F.concat(F.lit("NEW "), "genre").alias("genre")))
+    return planned.join(t.tracks.select("genre"), "genre", "left_anti")
 
 
 @job("most_expensive", "SELECT track_id, name, CAST(unit_price AS DOUBLE) AS unit_price FROM v_track WHERE unit_price >= (SELECT max(unit_price) FROM v_track)")

@@ -30,5 +30,8 @@ SELECT s_suppkey AS employee_id, s_name AS name,
   make_date(CAST(1992 + s_suppkey % 30 AS BIGINT), CAST(1 + s_suppkey % 12 AS BIGINT), 1) AS hire_date,
   CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE s_name || '@x.com' END AS email, CAST(s_nationkey AS BIGINT) AS nation_id
 FROM supplier""")
+view("v_artist", """
+SELECT employee_id, name FROM v_employee UNION ALL
+SELECT -employee_id - 1, CASE WHEN employee_id % 2 = 1 THEN name || ' (new)' END FROM v_employee WHERE employee_id % 3 = 0""")
 view("v_inv_country", """
 SELECT i.*, c.country FROM v_invoice i JOIN v_customer c ON i.customer_id = c.customer_id""")

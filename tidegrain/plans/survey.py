@@ -245,10 +245,19 @@ def term_statistics(texts: DataFrame, key: str, text: str) -> DataFrame:
     return stats.withColumn("tf_idf", half_up(F.col("tf") * F.ln(n / F.col("df")), 6))
 
 
-@job("top_terms", f"""WITH e AS (SELECT d.doc_id, d.text FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality = 1 AND l.toxic = 0),
+TERMS = f"""WITH e AS (SELECT d.doc_id, d.text FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality = 1 AND l.toxic = 0),
 w AS (SELECT doc_id, unnest(string_split(translate(lower(text), '.,;:!?()"' || chr(10) || chr(9), '           '), ' ')) AS term FROM e),
 p AS (SELECT doc_id, term, count(*) AS n FROM w WHERE term <> '' GROUP BY 1, 2), s AS (SELECT term, sum(n)::BIGINT AS tf, count(*) AS df FROM p GROUP BY 1)
-SELECT term, tf, df, {h('tf * ln(CAST((SELECT count(*) FROM e) AS DOUBLE) / df)', 6)} AS tf_idf FROM s ORDER BY tf DESC, term LIMIT 50""")
+SELECT term, tf, df, {h('tf * ln(CAST((SELECT count(*) FROM e) AS DOUBLE) / df)', 6)} AS tf_idf FROM s"""
+
+
+@job("term_table", TERMS)
+def term_table(t: Tables) -> DataFrame:
+    """Every term of the extract with its counts and tf-idf weight."""
+    return term_statistics(elite_text(t), "doc_id", "text")
+
+
+@job("top_terms", TERMS + " ORDER BY tf DESC, term LIMIT 50")
 def top_terms(t: Tables, k: int = 50) -> DataFrame:
-    """Most frequent terms of the extract with their tf-idf weight."""
-    return term_statistics(elite_text(t), "doc_id", "text").orderBy(F.col("tf").desc(), "term").limit(k)
+    """Report of the ``k`` most frequent terms."""
+    return term_table(t).orderBy(F.col("tf").desc(), "term").limit(k)

@@ -113,6 +113,13 @@ class Tables:
             F.col("s_nationkey").cast("bigint").alias("nation_id"),
         )
 
+    @cached_property
+    def artists(self) -> DataFrame:
+        """Employees as artists, and for every third one a newcomer under a negative id, who has sold nothing yet."""
+        new = self.employees.where("employee_id % 3 = 0").select(
+            (-F.col("employee_id") - 1).alias("employee_id"), F.when(F.col("employee_id") % 2 == 1, F.concat("name", F.lit(" (new)"))).alias("name"))
+        return self.employees.select("employee_id", "name").unionByName(new)
+
     @cached_property
     def invoices_by_country(self) -> DataFrame:
         """Invoices with the billing country: the fact meets the narrow key-country pair."""
