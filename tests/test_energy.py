@@ -95,3 +95,26 @@ def test_fact_keeps_rows_without_price(spark):
     p = spark.createDataFrame([("SPOT", 1704067200, 5.0)], "price_type string, unix_time bigint, price_euro_mwh double")
     row = E.fact_rows(calc, w, p, "2024-01-01 00:00:00").select(F.col("price_pvpc_eur_mwh")).first()
     assert row[0] is None
+
+
+def test_no_weather_id_means_no_yield(spark):
+    row = solar.pv_yield(scenario(spark, clouds_pct=50.0).withColumn("weather_id", F.lit(None).cast("bigint"))).first()
+    assert row["pv_power_gen_kw"] == 0.0 and row["poa_wm2"] == 0.0
+
+
+def test_daytime_rules_count_daytime_rows(spark):
+    from tidegrain.operators import quality as Q
+    from tidegrain.plans.quality import CALC_RULES
+
+    day, night = (500.0, 5.0, 0.8, 1.0, 4.0), (0.0, 0.0, 0.0, 1.0, 4.0)
+    df = spark.createDataFrame([day] + [night] * 98 + [(500.0, 1.0, 0.8, 1.0, 4.0)], "poa_wm2 double, pv_power_gen_kw double, pv_performance_ratio double, power_con_kw double, pv_peak_power_kw double")
+    got = {r["rule_id"]: (r["total"], r["failed"]) for r in Q.run_rules(df, CALC_RULES).collect()}
+    assert got == {"DQ-S015": (100, 0), "DQ-S016": (2, 1), "DQ-S017": (2, 0), "DQ-S018": (100, 0)}
+
+
+def test_a_date_of_the_fact_is_dealt_to_several_write_tasks(spark):
+    from tidegrain.sources.tables import Tables
+
+    plan = E.fact_layout(E.gold_fact(Tables(spark, "/root/testdata/sf0.001")))
+    parts = plan.select("slot_date", F.pmod(F.xxhash64("client_id"), F.lit(E.FACT_FILES)).alias("p")).distinct().groupBy("slot_date").count()
+    assert parts.agg(F.min("count")).first()[0] > 1

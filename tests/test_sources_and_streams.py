@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidegrain.sources import readers as RD
@@ -62,14 +63,38 @@ def test_report_has_header_body_and_total(spark, tmp_path):
     assert lines[0] == "SALES" and lines[4] == "Chile      |     10.0" and lines[-1] == "TOTAL total: 12.50"
 
 
-def test_partition_upsert_is_repeatable(spark, tmp_path, rows):
-    table = ST.PartitionedTable(spark, f"{tmp_path}/t", ["k"], "d", "k bigint, v bigint, d date")
-    day = dt.date(2024, 1, 1)
-    table.merge(spark.createDataFrame([(1, 1, day), (2, 2, day), (3, 3, dt.date(2024, 1, 2))], "k bigint, v bigint, d date"), 0, ["v"])
-    batch = spark.createDataFrame([(2, 20, day), (2, 10, day), (4, 4, day)], "k bigint, v bigint, d date")
+def test_partition_upsert_is_repeatable_and_keeps_the_newest(spark, tmp_path, rows):
+    schema = "k bigint, v bigint, d date"
+    table = ST.PartitionedTable(spark, f"{tmp_path}/t", ["k"], ("d", F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("k") % 2).cast("int"))), schema)
+
+    def frame(data):
+        return spark.createDataFrame(data, "k bigint, v bigint")
+
+    table.merge(frame([(1, 1), (2, 2), (3, 3)]), 0, ["v"])
     for _ in range(2):
-        table.merge(batch, 1, ["v"])
+        table.merge(frame([(2, 20), (2, 10), (4, 4)]), 1, ["v"])
         assert rows(table.read(), "k", "v") == [(1, 1), (2, 20), (3, 3), (4, 4)]
+    table.merge(frame([(2, 5), (3, 9)]), 2, ["v"])  # 5 is older than 20
+    assert rows(table.read(), "k", "v") == [(1, 1), (2, 20), (3, 9), (4, 4)]
+
+
+def test_an_unreadable_table_is_an_error_not_an_empty_one(spark, tmp_path):
+    table = ST.PartitionedTable(spark, f"{tmp_path}/t", ["k"], ("d", F.lit(dt.date(2024, 1, 1))), "k bigint, d date")
+    assert table.read().collect() == []
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "x.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        table.merge(spark.createDataFrame([(1,)], "k bigint"), 0, ["k"])
+
+
+def test_an_earlier_breach_in_a_later_batch_counts(spark, tmp_path, rows):
+    t0 = dt.datetime(2024, 1, 1)
+    hour = lambda h: t0 + dt.timedelta(hours=h)
+    for i, data in enumerate([[(1, hour(3), 5.0), (1, hour(4), 12.0)], [(1, hour(1), 11.0), (1, hour(0), 1.0)]]):
+        spark.createDataFrame(data, "k int, t timestamp, v double").coalesce(1).write.parquet(f"{tmp_path}/in/part={i}")
+        src = spark.readStream.schema("k int, t timestamp, v double").parquet(f"{tmp_path}/in/part=*")
+        out = ST.first_breach(src, "k", "t", F.col("v") > 10, f"{tmp_path}/out")
+    assert rows(out, "k", "v") == [(1, 1.0), (1, 11.0)]
 
 
 def test_stream_in_two_runs_reads_each_file_once(spark, tmp_path, rows):

@@ -62,13 +62,13 @@ def steps(c: Column, bounds: list[tuple[int, float]], rest: float) -> Column:
 
 
 def ghi(df: DataFrame) -> DataFrame:
-    """Global horizontal irradiance from elevation, clouds and weather id; zero below the horizon."""
+    """Global horizontal irradiance from elevation, clouds and weather id; zero below the horizon and without a weather id."""
     s = _sin(F.col("elevation"))
     clear = F.lit(1098.0) * s * F.exp(F.lit(-0.057) / F.greatest(F.lit(0.001), s))
     share = F.col("clouds_pct") / F.lit(100.0)
     cloud = F.lit(1.0) - F.lit(0.75) * (share * share * share)
     value = clear * cloud * steps(F.col("weather_id"), WEATHER_FACTORS, WEATHER_REST)
-    return df.withColumn("ghi", F.when(F.col("elevation") <= 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), value)))
+    return df.withColumn("ghi", F.when((F.col("elevation") <= 0) | F.col("weather_id").isNull(), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), value)))
 
 
 def erbs(df: DataFrame, unix: str = "unix_time") -> DataFrame:

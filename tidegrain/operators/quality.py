@@ -22,7 +22,7 @@ TABLE_THRESHOLDS = {"clean_clients": 95.0, "clean_weather": 90.0, "clean_prices"
 
 @dataclass(frozen=True)
 class Rule:
-    """``predicate`` is SQL that holds for a good row; ``tolerance`` is the accepted share of bad rows."""
+    """``predicate`` is SQL that holds for a good row of the ``scope``; ``tolerance`` is the accepted share of bad rows there."""
 
     id: str
     table: str
@@ -30,6 +30,7 @@ class Rule:
     dimension: str
     severity: str
     tolerance: float = 0.0
+    scope: str = "TRUE"
 
 
 RESULT_COLUMNS = ["rule_id", "table_name", "dimension", "severity", "tolerance", "total", "failed"]
@@ -37,11 +38,11 @@ RESULT_COLUMNS = ["rule_id", "table_name", "dimension", "severity", "tolerance",
 
 def run_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Evaluate row rules of one table in a single pass; an unknown predicate (NULL) counts as failed."""
-    total = F.count(F.lit(1))
     cells = [
         F.struct(
             F.lit(r.id).alias("rule_id"), F.lit(r.table).alias("table_name"), F.lit(r.dimension).alias("dimension"), F.lit(r.severity).alias("severity"),
-            F.lit(r.tolerance).cast("double").alias("tolerance"), total.alias("total"), F.count(F.when(~F.coalesce(F.expr(r.predicate), F.lit(False)), 1)).alias("failed"),
+            F.lit(r.tolerance).cast("double").alias("tolerance"), F.count_if(F.expr(r.scope)).alias("total"),
+            F.count_if(F.expr(r.scope) & ~F.coalesce(F.expr(r.predicate), F.lit(False))).alias("failed"),
         )
         for r in rules
     ]

@@ -2,7 +2,6 @@
 
 import math
 
-from tidegrain.functions import solar
 from tidegrain.plans.registry import half_even_sql as he
 from tidegrain.plans.registry import view
 
@@ -77,8 +76,11 @@ view("v_clean_weather", "SELECT client_id, unix_time, " + ", ".join(c if c != "r
 _n = "(unix_time / 86400.0::DOUBLE - 10957.5::DOUBLE)"
 
 
-def _steps(c: str, bounds, rest: float) -> str:
-    return "CASE " + " ".join(f"WHEN {c} < {u} THEN {v}" for u, v in bounds) + f" ELSE {rest} END::DOUBLE"
+# Fixed values, stated apart from the library's: share of light by weather condition, weekday base load by hour.
+_WEATHER = ("CASE WHEN weather_id < 300 THEN 0.40 WHEN weather_id < 500 THEN 0.85 WHEN weather_id < 600 THEN 0.70 WHEN weather_id < 700 THEN 0.75 "
+            "WHEN weather_id < 800 THEN 0.60 WHEN weather_id < 801 THEN 1.00 WHEN weather_id < 803 THEN 0.95 ELSE 0.80 END::DOUBLE")
+_LOAD = ("CASE WHEN hour(ft) < 5 THEN 0.10 WHEN hour(ft) < 6 THEN 0.40 WHEN hour(ft) < 9 THEN 0.95 WHEN hour(ft) < 13 THEN 0.85 WHEN hour(ft) < 15 THEN 0.60 "
+         "WHEN hour(ft) < 18 THEN 0.90 WHEN hour(ft) < 22 THEN 0.60 ELSE 0.12 END::DOUBLE")
 
 
 def _s(c: str) -> str:
@@ -98,8 +100,8 @@ SELECT *, degrees(asin(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, {_s('latitude')
 (degrees(atan2(-{_s('ha')}, tan(radians(de)) * {_c('latitude')} - {_s('latitude')} * {_c('ha')})) + 360.0::DOUBLE) % 360.0::DOUBLE AS azimuth FROM d""")
 _B = f"({2.0 * math.pi / 365.0!r}::DOUBLE * (dayofyear(make_timestamp(unix_time * 1000000)) - 1))"
 view("v_irradiance", f"""
-WITH g AS (SELECT *, CASE WHEN elevation <= 0 THEN 0 ELSE greatest(0.0::DOUBLE, 1098.0::DOUBLE * {_s('elevation')} * exp(-0.057::DOUBLE / greatest(0.001::DOUBLE, {_s('elevation')}))
-* (1.0::DOUBLE - 0.75::DOUBLE * ((clouds_pct / 100.0::DOUBLE) * (clouds_pct / 100.0::DOUBLE) * (clouds_pct / 100.0::DOUBLE))) * {_steps('weather_id', solar.WEATHER_FACTORS, solar.WEATHER_REST)}) END AS ghi,
+WITH g AS (SELECT *, CASE WHEN elevation <= 0 OR weather_id IS NULL THEN 0 ELSE greatest(0.0::DOUBLE, 1098.0::DOUBLE * {_s('elevation')} * exp(-0.057::DOUBLE / greatest(0.001::DOUBLE, {_s('elevation')}))
+* (1.0::DOUBLE - 0.75::DOUBLE * ((clouds_pct / 100.0::DOUBLE) * (clouds_pct / 100.0::DOUBLE) * (clouds_pct / 100.0::DOUBLE))) * {_WEATHER}) END AS ghi,
 {_s('elevation')} AS s, 1366.1::DOUBLE * (1.00011::DOUBLE + 0.034221::DOUBLE * cos({_B}) + 0.00128::DOUBLE * sin({_B}) + 0.000719::DOUBLE * cos(2.0::DOUBLE * {_B}) + 0.000077::DOUBLE * sin(2.0::DOUBLE * {_B})) AS x FROM v_sun),
 k AS (SELECT *, greatest(0.0::DOUBLE, least(1.0::DOUBLE, ghi / (x * s))) AS k FROM g),
 h AS (SELECT *, CASE WHEN ghi <= 0 OR elevation < 2 THEN 0 ELSE greatest(0.0::DOUBLE, ghi * CASE WHEN k <= 0.22 THEN 1.0::DOUBLE - 0.09::DOUBLE * k
@@ -112,7 +114,7 @@ view("v_calc", f"""
 WITH t AS (SELECT *, make_timestamp(unix_time * 1000000) AS ft, CASE WHEN poa <= 0 THEN temp_celsius ELSE temp_celsius + poa / (24.9::DOUBLE + 6.1::DOUBLE * greatest(0.0::DOUBLE, wind_speed_mps)) END AS tc FROM v_irradiance),
 r AS (SELECT *, CASE WHEN poa <= 0 THEN 0 ELSE (1.0::DOUBLE + -0.004::DOUBLE * (tc - 25.0::DOUBLE)) * (1.0::DOUBLE - loss_pct / 100.0::DOUBLE) END AS pr FROM t)
 SELECT client_id, unix_time, {he('tc', 3)} AS t_cell_celsius, {he('poa', 3)} AS poa_wm2, {he('CASE WHEN poa <= 0 THEN 0 WHEN pr IS NULL THEN 0 ELSE greatest(0.0::DOUBLE, poa / 1000.0::DOUBLE * pv_peak_power_kw * pr) END', 3)} AS pv_power_gen_kw,
-{he('pr', 3)} AS pv_performance_ratio, {he(f"CASE WHEN nominal_load_kw * temp_celsius IS NULL AND FALSE THEN NULL ELSE greatest(0.0::DOUBLE, nominal_load_kw * ((CASE WHEN {_WD} < 5 THEN {_steps('hour(ft)', solar.WEEKDAY_LOAD, solar.WEEKDAY_REST)} WHEN {_WD} = 6 THEN 0.10 ELSE 0.20 END)::DOUBLE + (CASE WHEN temp_celsius > 25 THEN (temp_celsius - 25.0::DOUBLE) * 0.02::DOUBLE WHEN temp_celsius < 15 THEN (15.0::DOUBLE - temp_celsius) * 0.01::DOUBLE ELSE 0 END)::DOUBLE)) END", 3)} AS power_con_kw FROM r""")
+{he('pr', 3)} AS pv_performance_ratio, {he(f"CASE WHEN nominal_load_kw * temp_celsius IS NULL AND FALSE THEN NULL ELSE greatest(0.0::DOUBLE, nominal_load_kw * ((CASE WHEN {_WD} < 5 THEN {_LOAD} WHEN {_WD} = 6 THEN 0.10 ELSE 0.20 END)::DOUBLE + (CASE WHEN temp_celsius > 25 THEN (temp_celsius - 25.0::DOUBLE) * 0.02::DOUBLE WHEN temp_celsius < 15 THEN (15.0::DOUBLE - temp_celsius) * 0.01::DOUBLE ELSE 0 END)::DOUBLE)) END", 3)} AS power_con_kw FROM r""")
 view("v_dim_client", "SELECT *, CAST(CASE WHEN pv_peak_power_kw > 0 THEN 1 ELSE 0 END AS BIGINT) AS has_solar, CAST(CASE WHEN battery_capacity_kwh > 0 THEN 1 ELSE 0 END AS BIGINT) AS has_battery FROM v_clean_client")
 view("v_dim_datetime", """
 WITH s AS (SELECT unix_time, max(is_daylight) AS is_daylight, make_timestamp(unix_time * 1000000) AS u, make_timestamp(unix_time * 1000000) + INTERVAL 1 HOUR AS l FROM v_clean_weather GROUP BY 1),

@@ -18,6 +18,8 @@ from tidegrain.sources.tables import Tables
 
 RUN_NOW = "2001-07-31"
 
+# Rule ids, predicates, dimensions, severities and tolerances; three tolerances are shares of the daytime rows.
+DAYTIME = "coalesce(poa_wm2, 0) > 0"
 CLIENT_RULES = [
     Rule("DQ-S001", "clean_clients", "client_id IS NOT NULL AND client_id <> '' AND client_id NOT IN ('None','nan','null')", "Completeness", "CRITICAL"),
     Rule("DQ-S002", "clean_clients", "latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180", "Accuracy", "CRITICAL"),
@@ -33,12 +35,12 @@ WEATHER_RULES = [
 PRICE_RULES = [Rule("DQ-S012", "clean_prices", "price_euro_mwh BETWEEN -100 AND 2000", "Validity", "HIGH")]
 CALC_RULES = [
     Rule("DQ-S015", "clean_calculations", "pv_power_gen_kw >= 0", "Accuracy", "CRITICAL"),
-    Rule("DQ-S016", "clean_calculations", "pv_power_gen_kw <= pv_peak_power_kw * 1.1", "Accuracy", "HIGH", 0.005),
-    Rule("DQ-S017", "clean_calculations", "pv_performance_ratio BETWEEN 0.3 AND 1.0 OR pv_performance_ratio = 0", "Accuracy", "MEDIUM", 0.02),
+    Rule("DQ-S016", "clean_calculations", "pv_power_gen_kw <= pv_peak_power_kw * 1.1", "Accuracy", "HIGH", 0.005, DAYTIME),
+    Rule("DQ-S017", "clean_calculations", "pv_performance_ratio BETWEEN 0.3 AND 1.0 OR pv_performance_ratio = 0", "Accuracy", "MEDIUM", 0.02, DAYTIME),
     Rule("DQ-S018", "clean_calculations", "power_con_kw >= 0", "Accuracy", "HIGH"),
 ]
 TARIFF_RULES = [Rule("DQ-G004", "gold_dim_datetime", "tariff_period IN ('P1','P2','P3','P6')", "Validity", "CRITICAL")]
-FACT_RULES = [Rule("DQ-G005", "gold_fact_energy_forecast", "pv_power_gen_kw <= pv_peak_power_kw * 1.1 OR pv_power_gen_kw = 0", "Consistency", "HIGH", 0.005)]
+FACT_RULES = [Rule("DQ-G005", "gold_fact_energy_forecast", "pv_power_gen_kw <= pv_peak_power_kw * 1.1 OR pv_power_gen_kw = 0", "Consistency", "HIGH", 0.005, DAYTIME)]
 RAW_RULES = [Rule(r.id + "-RAW", "raw_clients", r.predicate, r.dimension, r.severity, r.tolerance) for r in CLIENT_RULES]
 UNIQUE = [Rule("DQ-S006", "clean_clients", "", "Uniqueness", "HIGH"), Rule("DQ-S011", "clean_weather", "", "Uniqueness", "CRITICAL"), Rule("DQ-S014", "clean_prices", "", "Uniqueness", "CRITICAL")]
 COVER = [Rule("DQ-S010", "clean_weather", "", "Completeness", "MEDIUM"), Rule("DQ-S013", "clean_prices", "", "Completeness", "HIGH"), Rule("DQ-G003", "gold_fact_energy_forecast", "", "Completeness", "HIGH")]
@@ -46,10 +48,23 @@ REFER = [Rule("DQ-G001", "gold_fact_energy_forecast", "", "Consistency", "CRITIC
          Rule("DQ-G001-W", "clean_weather", "", "Consistency", "CRITICAL")]
 
 
+# Fixed values, stated apart from the rules above: what a good row is, and the rows judged, in the other engine's SQL.
+GOOD = {
+    "DQ-S001": "client_id NOT IN ('', 'None', 'nan', 'null')", "DQ-S002": "abs(latitude) <= 90 AND abs(longitude) <= 180", "DQ-S003": "pv_peak_power_kw > 0", "DQ-S004": "angle >= 0 AND angle <= 90",
+    "DQ-S005": "efficiency >= 0 AND efficiency <= 1", "DQ-S007": "temp_celsius >= -30 AND temp_celsius <= 55", "DQ-S008": "clouds_pct >= 0 AND clouds_pct <= 100",
+    "DQ-S009": "rain_prob_norm >= 0 AND rain_prob_norm <= 1", "DQ-S012": "price_euro_mwh >= -100 AND price_euro_mwh <= 2000", "DQ-S015": "pv_power_gen_kw >= 0",
+    "DQ-S016": "pv_power_gen_kw <= pv_peak_power_kw * 1.1", "DQ-S017": "(pv_performance_ratio >= 0.3 AND pv_performance_ratio <= 1) OR pv_performance_ratio = 0", "DQ-S018": "power_con_kw >= 0",
+    "DQ-G004": "tariff_period IN ('P1', 'P2', 'P3', 'P6')", "DQ-G005": "pv_power_gen_kw = 0 OR pv_power_gen_kw <= pv_peak_power_kw * 1.1"}
+BY_DAY = ("DQ-S016", "DQ-S017", "DQ-G005")
+
+
 def _row_sql(rules: list[Rule], source: str) -> str:
+    def rows(rule: Rule) -> str:
+        return f"(SELECT * FROM {source} WHERE poa_wm2 > 0)" if rule.id in BY_DAY else source
+
     return " UNION ALL ".join(
         f"SELECT '{r.id}' AS rule_id, '{r.table}' AS table_name, '{r.dimension}' AS dimension, '{r.severity}' AS severity, CAST({r.tolerance} AS DOUBLE) AS tolerance, count(*) AS total, "
-        f"count(CASE WHEN NOT coalesce({r.predicate}, FALSE) THEN 1 END) AS failed FROM {source}" for r in rules)
+        f"count(CASE WHEN NOT coalesce({GOOD[r.id.removesuffix('-RAW')]}, FALSE) THEN 1 END) AS failed FROM {rows(r)}" for r in rules)
 
 
 def _group_sql(r: Rule, source: str, keys: str, failed: str, total: str = "CAST(coalesce(sum(n), 0) AS BIGINT)") -> str:

@@ -25,8 +25,9 @@ def stream_hourly_slots(t: Tables) -> DataFrame:
 @job("stream_first_breach", """WITH b AS (SELECT user_id, min(ts) AS f FROM events WHERE value > 200 GROUP BY 1) SELECT e.event_id, e.user_id, e.value FROM events e LEFT JOIN b ON b.user_id = e.user_id WHERE b.f IS NULL OR e.ts <= b.f""")
 def stream_first_breach(t: Tables, limit: float = 200.0) -> DataFrame:
     """Readings of every sensor until its first value over the limit."""
-    src = S.stream_table(t.spark, t.root, "events").select("event_id", "user_id", "ts", "value")
-    return S.first_breach(src, "user_id", "ts", F.col("value") > limit, S.work_dir(t.spark, "breach")).select("event_id", "user_id", "value")
+    work = S.work_dir(t.spark, "breach")
+    src = S.shuffled_stream(t.spark, t.root, "events", "event_id", 3, work).select("event_id", "user_id", "ts", "value")
+    return S.first_breach(src, "user_id", "ts", F.col("value") > limit, work).select("event_id", "user_id", "value")
 
 
 @job("stream_landing", """SELECT CASE WHEN event_id % 50 = 9 THEN 'corrupt' ELSE event_type END AS kind, count(*) AS documents FROM events GROUP BY 1""")
@@ -43,11 +44,10 @@ def stream_landing(t: Tables) -> DataFrame:
 
 @job("stream_upsert", """SELECT user_id, CAST(epoch(slot) AS BIGINT) AS slot, event_id, value FROM (SELECT user_id, date_trunc('hour', ts) AS slot, event_id, value, row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
 def stream_upsert(t: Tables) -> DataFrame:
-    """Latest reading per sensor and hour kept by a repeatable upsert into date partitions (the batch is applied twice)."""
+    """Latest reading per sensor and hour kept by a repeatable upsert into date partitions from files out of order (each batch is applied twice)."""
     work = S.work_dir(t.spark, "upsert")
-    table = S.PartitionedTable(t.spark, f"{work}/table", ["user_id", "slot"], "day", "user_id bigint, slot timestamp, event_id bigint, value double, ts timestamp, day date")
-    src = S.stream_table(t.spark, t.root, "events").select(
-        "user_id", F.date_trunc("hour", "ts").alias("slot"), "event_id", "value", "ts", F.to_date("ts").alias("day"))
+    table = S.PartitionedTable(t.spark, f"{work}/table", ["user_id", "slot"], ("day", F.to_date("slot")), "user_id bigint, slot timestamp, event_id bigint, value double, ts timestamp, day date")
+    src = S.shuffled_stream(t.spark, t.root, "events", "event_id", 3, work).select("user_id", F.date_trunc("hour", "ts").alias("slot"), "event_id", "value", "ts")
 
     def twice(batch: DataFrame, i: int) -> None:
         table.merge(batch, i, ["ts", "event_id"])
@@ -62,13 +62,13 @@ SELECT date_trunc('hour', ts) AS dt, ts, CAST(value AS DOUBLE) AS v FROM events
 def stream_late_prices(t: Tables) -> DataFrame:
     """Prices that arrive after the fact was loaded with NULL fill the slots from two hours before ``now``."""
     work = S.work_dir(t.spark, "late")
-    schema = "unix_time bigint, client_id string, price_pvpc_eur_mwh double, slot_date date"
-    E.gold_fact(t).select("unix_time", "client_id", F.lit(None).cast("double").alias("price_pvpc_eur_mwh"), "slot_date").write.partitionBy("slot_date").parquet(f"{work}/table")
-    fact = S.PartitionedTable(t.spark, f"{work}/table", ["unix_time"], "slot_date", schema)
-    prices = S.stream_table(t.spark, t.root, "events").where("event_type = 'click'").select(
-        D.epoch(F.date_trunc("hour", "ts")).alias("unix_time"), F.col("value").alias("price_pvpc_eur_mwh"), "ts", F.to_date("ts").alias("slot_date"))
+    schema = "unix_time bigint, client_id string, price_pvpc_eur_mwh double, price_seen_at timestamp, slot_date date"
+    E.gold_fact(t).select("unix_time", "client_id", F.lit(None).cast("double").alias("price_pvpc_eur_mwh"), F.lit(None).cast("timestamp").alias("price_seen_at"), "slot_date").write.partitionBy("slot_date").parquet(f"{work}/table")
+    fact = S.PartitionedTable(t.spark, f"{work}/table", ["unix_time"], ("slot_date", F.to_date(F.timestamp_seconds("unix_time"))), schema)
+    prices = S.shuffled_stream(t.spark, t.root, "events", "event_id", 3, work).where("event_type = 'click'").select(
+        D.epoch(F.date_trunc("hour", "ts")).alias("unix_time"), F.col("value").alias("price_pvpc_eur_mwh"), "ts")
     start = D.epoch(F.lit("2024-01-15 22:00:00").cast("timestamp"))
-    return S.fill_late(fact, prices, work, "price_pvpc_eur_mwh", ["ts"], lambda b: b.where(F.col("unix_time") >= start)).select("client_id", "unix_time", "price_pvpc_eur_mwh")
+    return S.fill_late(fact, prices, work, "price_pvpc_eur_mwh", "price_seen_at", "ts", lambda b: b.where(F.col("unix_time") >= start)).select("client_id", "unix_time", "price_pvpc_eur_mwh")
 
 
 @job("landing_zone", "SELECT 'prices' AS source, CAST(ts AS DATE) AS ingest_date, count(*) AS documents FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-12' GROUP BY 2")

@@ -9,11 +9,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrain.operators.ranking import first_per_key
-from tidegrain.operators.tables import upsert
 from tidegrain.session import shared_dir
 
 
@@ -29,6 +29,14 @@ def stream_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return df.withColumns({f.name: F.col(f.name).cast("timestamp") for f in schema if f.dataType.typeName() == "timestamp_ntz"})
 
 
+def shuffled_stream(spark: SparkSession, root: str, name: str, key: str, files: int, work: str) -> DataFrame:
+    """Stored table landed in ``files`` files by a hash of ``key`` and read one file a batch, so times arrive out of order."""
+    rows = spark.read.parquet(f"{root}/{name}.parquet")
+    rows = rows.withColumns({f.name: F.col(f.name).cast("timestamp") for f in rows.schema if f.dataType.typeName() == "timestamp_ntz"})
+    rows.withColumn("_file", F.pmod(F.xxhash64(key), F.lit(files))).repartition(files, "_file").drop("_file").write.parquet(f"{work}/in")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
+
+
 def stream_landing(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """New landing documents, each file once; text that does not parse goes to ``_corrupt``."""
     return spark.readStream.schema(f"{schema}, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").json(path)
@@ -57,60 +65,69 @@ def hourly_slots(events: DataFrame, t: str, lateness: str, *aggs: Column, keys:
 class PartitionedTable:
     """Parquet table in date partitions with repeatable key upserts.
 
-    A batch rewrites only the partitions it touches: merged rows go to a staging folder of the batch first,
-    then replace the partitions (dynamic overwrite), so a repeated batch gives the same table.
+    ``partition`` is an expression over the keys alone, so a key always lies in one partition. A batch rewrites only the partitions
+    it touches: merged rows go to a staging folder of the batch first, then replace the partitions (dynamic overwrite), so a
+    repeated batch gives the same table.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], partition: str, schema: str):
-        self.spark, self.path, self.keys, self.partition, self.schema = spark, path, list(keys), partition, schema
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], partition: tuple[str, Column], schema: str):
+        self.spark, self.path, self.keys, self.schema = spark, path, list(keys), schema
+        self.partition, self.partition_of = partition
 
     def read(self) -> DataFrame:
         try:
             return self.spark.read.schema(self.schema).parquet(self.path)
-        except Exception:  # noqa: BLE001 - no table before the first batch
-            return self.spark.createDataFrame([], self.schema)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], self.schema)  # no table before the first batch
 
     def merge(self, batch: DataFrame, batch_id: int, newest: Sequence[str], combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> None:
+        """Bring in the batch; of a key's stored and incoming rows the newest stays, unless ``combine`` says otherwise."""
         spark = batch.sparkSession
-        rows = first_per_key(batch, self.keys, [F.col(c).desc_nulls_last() for c in newest])
+        order = [F.col(c).desc_nulls_last() for c in newest]
+        rows = first_per_key(batch.withColumn(self.partition, self.partition_of), self.keys, order)
         staging = f"{self.path}_staging/{batch_id}"
         rows.write.mode("overwrite").parquet(f"{staging}/in")
         rows = spark.read.schema(rows.schema).parquet(f"{staging}/in")
         touched = rows.select(self.partition).distinct()
         current = self.read().join(touched, self.partition, "left_semi")
-        merged = combine(current, rows) if combine else upsert(current, rows, self.keys)
+        merged = combine(current, rows) if combine else first_per_key(current.unionByName(rows.select(*current.columns)), self.keys, order)
         merged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{staging}/out")
         spark.read.schema(self.schema).parquet(f"{staging}/out").write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy(self.partition).parquet(self.path)
 
 
 def first_breach(events: DataFrame, key: str, t: str, breach: Column, out: str) -> DataFrame:
-    """Readings of each key up to and including its first breach.
+    """Readings of each key up to and including its first breach, in whatever order they arrive.
 
-    The first breach per key is a partial minimum kept in a versioned table (one version per batch), so a key
-    with a third of all readings is never held in one task's state.
+    A batch stores its readings and the first breach per key among them; the first breach of all batches is applied on reading,
+    because a later batch may bring an earlier one.
     """
     spark = events.sparkSession
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        known = spark.read.parquet(f"{out}/first/{batch_id - 1}") if batch_id else None
-        new = batch.where(breach).groupBy(key).agg(F.min(t).alias("_first"))
-        merged = new if known is None else known.unionByName(new).groupBy(key).agg(F.min("_first").alias("_first"))
-        merged.write.mode("overwrite").parquet(f"{out}/first/{batch_id}")
-        first = spark.read.parquet(f"{out}/first/{batch_id}")
-        kept = batch.join(first, key, "left").where(F.col("_first").isNull() | (F.col(t) <= F.col("_first"))).drop("_first")
-        kept.write.mode("overwrite").parquet(f"{out}/data/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{out}/data/batch={batch_id}")
+        seen = spark.read.schema(batch.schema).parquet(f"{out}/data/batch={batch_id}")
+        seen.where(breach).groupBy(key).agg(F.min(t).alias("_first")).write.mode("overwrite").parquet(f"{out}/first/batch={batch_id}")
 
     run_batches(events, out, step)
-    return spark.read.parquet(f"{out}/data").drop("batch")
+    first = spark.read.parquet(f"{out}/first").groupBy(key).agg(F.min("_first").alias("_first"))
+    seen = spark.read.parquet(f"{out}/data").drop("batch")
+    return seen.join(first, key, "left").where(F.col("_first").isNull() | (F.col(t) <= F.col("_first"))).drop("_first")
 
 
-def fill_late(fact: PartitionedTable, late: DataFrame, out: str, column: str, newest: Sequence[str], window: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Late values fill the column of rows loaded earlier with NULL; only rows of the active window change."""
+def fill_late(fact: PartitionedTable, late: DataFrame, out: str, column: str, seen_at: str, newest: str, window: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Late values fill the column of rows loaded earlier with NULL; only rows of the active window change.
+
+    ``seen_at`` of the fact keeps the time (``newest``) of the value it holds, so an older value that arrives later changes nothing.
+    """
 
     def combine(current: DataFrame, rows: DataFrame) -> DataFrame:
-        new = rows.select(*fact.keys, F.col(column).alias("_late"))
-        return current.join(new, fact.keys, "left").withColumn(column, F.coalesce("_late", column)).drop("_late")
+        new = rows.select(*fact.keys, F.col(column).alias("_late"), F.col(newest).alias("_at"))
+        later = F.col("_at").isNotNull() & (F.col(seen_at).isNull() | (F.col("_at") >= F.col(seen_at)))
+        return current.join(new, fact.keys, "left").withColumns({
+            column: F.when(later, F.col("_late")).otherwise(F.col(column)), seen_at: F.when(later, F.col("_at")).otherwise(F.col(seen_at))}).drop("_late", "_at")
 
-    run_batches(late, out, lambda batch, i: fact.merge(window(batch), i, newest, combine))
+    run_batches(late, out, lambda batch, i: fact.merge(window(batch), i, [newest], combine))
     return fact.read()
