@@ -94,9 +94,10 @@ def test_interpolation_equals_pandas(spark):
     for _ in range(4):
         values = [None if rnd.random() < 0.4 else round(rnd.uniform(-5, 5), 2) for _ in range(30)]
         df = spark.createDataFrame([("k", i, v) for i, v in enumerate(values)], "k string, t int, v double")
-        got = [r["v"] for r in S.interpolate_positions(df, ["k"], "t", "v").orderBy("t").collect()]
         want = pd.Series(values, dtype=float).interpolate().ffill().bfill()
-        assert np.allclose(np.array(got, dtype=float), want, equal_nan=True)
+        for block in (None, F.floor(F.col("t") / 4), F.floor(F.col("t") / 11)):
+            got = [r["v"] for r in S.interpolate_positions(df, ["k"], "t", "v", block).orderBy("t").collect()]
+            assert np.allclose(np.array(got, dtype=float), want, equal_nan=True)
 
 
 def test_hourly_grid_equals_pandas(spark):

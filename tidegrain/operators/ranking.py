@@ -87,8 +87,8 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_n
 
 def global_ntile(df: DataFrame, n: int, order: Sequence[Column], name: str) -> DataFrame:
     """Exact ``NTILE(n)`` over the whole table: the first ``rows mod n`` tiles get one row more."""
-    total = df.agg(F.count(F.lit(1)).alias("t")).scalar()
     ranked = global_row_number(df, order, "_rn")
+    total = ranked.agg(F.max("_rn").alias("t")).scalar()  # of the checkpointed rows, not of the input again
     size, extra = F.expr(f"_total div {n}"), F.col("_total") % n
     cut = extra * (size + 1)
     in_large = F.floor((F.col("_rn") - 1) / (size + 1)) + 1

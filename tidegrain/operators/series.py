@@ -15,27 +15,43 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def interpolate_positions(df: DataFrame, keys: Sequence[str], t: str, c: str) -> DataFrame:
+def interpolate_positions(df: DataFrame, keys: Sequence[str], t: str, c: str, block: Column | None = None) -> DataFrame:
     """Linear fill by row position between known values; the ends take the nearest known value.
 
-    ``df`` has one row per key and time.
+    ``df`` has one row per key and time. A series is cut into blocks (``block``, monotone in ``t``, for example the day): windows over
+    rows see one block, the positions and the known values around it are carried over from the block summaries.
     """
-    base = W.partitionBy(*keys).orderBy(t)
-    back, ahead = base.rowsBetween(W.unboundedPreceding, 0), base.rowsBetween(0, W.unboundedFollowing)
-    known = F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).alias("v")))
-    out = (
-        df.withColumn("_pos", F.row_number().over(base)).withColumn("_known", known)
-        .withColumns({"_a": F.last("_known", ignorenulls=True).over(back), "_b": F.first("_known", ignorenulls=True).over(ahead)})
-        .drop("_known")
-    )
-    share = (F.col("_pos") - F.col("_a.p")) / (F.col("_b.p") - F.col("_a.p"))
+    rows = df.withColumn("_block", F.lit(0) if block is None else block)
+    inner = W.partitionBy(*keys, "_block").orderBy(t)
+    rows = rows.withColumn("_in", F.row_number().over(inner).cast("bigint"))
+    point = F.when(F.col(c).isNotNull(), F.struct(F.col("_in").alias("p"), F.col(c).alias("v")))
+    names = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    series = [f"_k{i}" for i in range(len(keys))]
+    sums = rows.groupBy(*names, F.col("_block").alias("_of")).agg(F.count(F.lit(1)).alias("_n"), F.min(point).alias("_first"), F.max(point).alias("_last"))
+    order = W.partitionBy(*series).orderBy("_of")
+    before, after = order.rowsBetween(W.unboundedPreceding, -1), order.rowsBetween(1, W.unboundedFollowing)
+    sums = sums.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("bigint")))
+
+    def moved(x: Column) -> Column:
+        return F.when(x.isNotNull(), F.struct((x["p"] + F.col("_base")).alias("p"), x["v"].alias("v")))
+
+    sums = sums.withColumns({"_first": moved(F.col("_first")), "_last": moved(F.col("_last"))}).withColumns({
+        "_from": F.last("_last", ignorenulls=True).over(before), "_to": F.first("_first", ignorenulls=True).over(after)}).drop("_n", "_first", "_last")
+    same = F.col("_block").eqNullSafe(F.col("_of"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    rows = rows.join(sums, same).drop("_of", *series).withColumn("_known", moved(point))
+    rows = rows.withColumns({
+        "_a": F.coalesce(F.last("_known", ignorenulls=True).over(inner.rowsBetween(W.unboundedPreceding, 0)), "_from"),
+        "_b": F.coalesce(F.first("_known", ignorenulls=True).over(inner.rowsBetween(0, W.unboundedFollowing)), "_to")})
+    share = (F.col("_base") + F.col("_in") - F.col("_a.p")) / (F.col("_b.p") - F.col("_a.p"))
     line = F.col("_a.v") + (F.col("_b.v") - F.col("_a.v")) * share
     filled = (
         F.when(F.col(c).isNotNull(), F.col(c))
         .when(F.col("_a").isNotNull() & F.col("_b").isNotNull(), line)
         .otherwise(F.coalesce(F.col("_a.v"), F.col("_b.v")))
     )
-    return out.withColumn(c, filled).drop("_pos", "_a", "_b")
+    return rows.withColumn(c, filled).drop("_block", "_in", "_base", "_from", "_to", "_known", "_a", "_b")
 
 
 def hourly_grid(df: DataFrame, keys: Sequence[str], t: str, numbers: Sequence[str], labels: Sequence[str]) -> DataFrame:

@@ -158,7 +158,7 @@ def silver_prices(raw: DataFrame, lo: float = -100, hi: float = 2000) -> DataFra
         "price_type", F.try_to_timestamp(F.col("v.datetime")).alias("datetime_utc"), F.col("v.value").alias("price_euro_mwh"), "_source_file", "_ingested_at_utc")
     rows = rows.where(F.col("datetime_utc").isNotNull() & (F.col("price_euro_mwh").isNull() | F.col("price_euro_mwh").between(lo, hi)))
     rows = first_per_key(rows, ["price_type", "datetime_utc"], [F.col("_ingested_at_utc").desc(), F.col("_source_file").desc()])
-    filled = interpolate_positions(rows, ["price_type"], "datetime_utc", "price_euro_mwh")
+    filled = interpolate_positions(rows, ["price_type"], "datetime_utc", "price_euro_mwh", F.to_date("datetime_utc"))
     return filled.withColumns({"price_euro_mwh": half_even(F.col("price_euro_mwh"), 4), "unix_time": D.epoch(F.col("datetime_utc"))})
 
 

@@ -12,6 +12,7 @@ from tidegrain.operators import ranking as R
 from tidegrain.plans.registry import half_up_sql as h
 from tidegrain.plans.registry import job
 from tidegrain.plans.store_basics import _per_customer
+from tidegrain.session import shared_dir
 from tidegrain.sources.tables import Tables
 
 
@@ -173,17 +174,18 @@ SELECT q.customer_id, c.first_name || ' ' || c.last_name AS customer, days AS da
 CASE WHEN rq = 4 AND fq = 4 AND mq = 4 THEN 'Campeón' WHEN rq = 1 AND fq >= 3 AND mq >= 3 THEN 'En riesgo' WHEN rq = 4 AND fq <= 2 THEN 'Nuevo prometedor' ELSE 'Otro' END AS segment
 FROM q JOIN v_customer c ON c.customer_id = q.customer_id""".replace("fq AS f, mq AS m", "fq AS f_tile, mq AS m_tile").replace("rq AS r,", "rq AS r_tile,"))
 def rfm(t: Tables) -> DataFrame:
-    """Recency, frequency, money quartiles; the global tiles come from range-partitioned sorts, not one window."""
+    """Recency, frequency, money quartiles; the totals are computed once, each tile from a range-partitioned sort of (value, id)."""
+    shared_dir(t.spark)
     per_inv = t.lines.groupBy("invoice_id").agg(F.sum("line_total").alias("s"))
     per_cust = per_inv.join(t.invoices.select("invoice_id", "customer_id", "invoice_date"), "invoice_id").groupBy("customer_id").agg(
         F.max("invoice_date").alias("last"), F.count(F.lit(1)).alias("frequency"), F.sum("s").alias("s")
     )
     newest = t.invoices.agg(F.max("invoice_date")).scalar()
-    base = per_cust.withColumn("days_since", F.floor(D.day_gap(newest, F.col("last"))).cast("bigint"))
+    base = per_cust.withColumn("days_since", F.floor(D.day_gap(newest, F.col("last"))).cast("bigint")).drop("last").checkpoint()
     cid = F.col("customer_id")
-    base = R.global_ntile(base, 4, [F.col("days_since").desc(), cid], "r_tile")
-    base = R.global_ntile(base, 4, [F.col("frequency").asc(), cid], "f_tile")
-    base = R.global_ntile(base, 4, [F.col("s").asc(), cid], "m_tile")
+    for value, order, tile in (("days_since", F.col("days_since").desc(), "r_tile"), ("frequency", F.col("frequency").asc(), "f_tile"), ("s", F.col("s").asc(), "m_tile")):
+        tiles = R.global_ntile(base.select("customer_id", value), 4, [order, cid], tile)
+        base = base.join(tiles.select("customer_id", tile), "customer_id")
     r, f, m = F.col("r_tile"), F.col("f_tile"), F.col("m_tile")
     segment = (
         F.when((r == 4) & (f == 4) & (m == 4), "Campeón").when((r == 1) & (f >= 3) & (m >= 3), "En riesgo")
