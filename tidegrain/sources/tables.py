@@ -12,6 +12,10 @@ from tidegrain.functions.numbers import money
 from tidegrain.session import shared_dir
 
 
+#: Staged tables written by this application.
+_BUILT: set[str] = set()
+
+
 class Tables:
     """Lazy readers for one data folder; every property is a plan, nothing is read before an action."""
 
@@ -29,13 +33,12 @@ class Tables:
         """
         tag = hashlib.md5(self.root.encode()).hexdigest()[:12]
         path = f"{shared_dir(self.spark)}/{self.spark.sparkContext.applicationId}/{tag}/{name}"
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-        fs = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(hadoop):
+        if path not in _BUILT:
             writer = build().write.mode("overwrite").option("partitionOverwriteMode", "static")
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.parquet(path)
+            _BUILT.add(path)  # only after a whole write: a failed one is built again
         return self.spark.read.parquet(path)
 
     # -- store-shaped views -------------------------------------------------------------------
