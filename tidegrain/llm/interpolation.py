@@ -3,7 +3,7 @@
 The corpus is read in blocks of rows. Each block asks for the n-grams it holds, once each, as sorted 64-bit hashes together with its own
 counts; the requests are grouped by hash range, added up, and every block gets the corpus counts of its n-grams back. So
 what is shuffled is a few bytes per distinct n-gram of a block, and documents never move. An n-gram that occurs once, in
-a training document, needs no answer: whoever meets it there knows its count.
+a training document, needs no answer, and neither does one that never occurs there: whoever meets it knows.
 
 For the weights, a part of the training documents (the tuning part) is deleted from the counts; their tokens are then scored with
 what is left, and expectation-maximisation finds, per bucket of the context's count, the weights under which they are most likely.
@@ -29,18 +29,25 @@ BLOCK_ROWS, REQUEST_TOKENS = 4096, 2_000_000
 BUCKETS, STEPS, OCTAVES, EM_ROUNDS = 25, 8, 48, 30
 #: Hashes of the end token and of the start of a text, strings that no word can be.
 END, START = (np.array([xxhash.xxh64_intdigest(b)], np.uint64) for b in (b" ", b"  "))
-HASHES = WordHashes()
+HASHES = WordHashes(250_000)
+ONE = np.ones(1, np.uint64)
 REQUEST = "n int, bucket int, block long, keys binary, total binary, tuning binary, held binary"
 ANSWER = "n int, bucket int, keys binary, total binary, tuning binary, types long, tokens long, tuning_tokens long, block long"
 
 
+CODEC = pa.Codec("zstd", 1)
+
+
 def pack(values: np.ndarray) -> bytes:
-    """64-bit values as planes of their bytes: high planes of small values are zeros, which compress away."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """64-bit values as compressed planes of their bytes: the high planes of small values are zeros and take no space."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + CODEC.compress(planes.tobytes(), asbytes=True)
 
 
 def unpack(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(CODEC.decompress(data[8:], 8 * n, asbytes=True) if n else b"", np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
 
 
 def tokens(text: bytes) -> np.ndarray:
@@ -76,14 +83,16 @@ def requests(docs: DataFrame, bits: int) -> DataFrame:
     """What every block asks for: its distinct n-grams by hash range, with its own counts."""
 
     def packed(block: int, n: int, parts: list[tuple[int, np.ndarray]]):
-        keys, at = np.unique(np.concatenate([k for _, k in parts]), return_inverse=True)
-        role = np.concatenate([np.full(len(k), r, np.int8) for r, k in parts])
-        total, tuning, held = (np.bincount(at, weights=w, minlength=len(keys)).astype(np.uint64) for w in (role > 0, role == 2, role == 0))
+        own = [np.unique(np.concatenate([ONE[:0], *(k for r, k in parts if r == role)]), return_counts=True) for role in range(3)]
+        keys = np.unique(np.concatenate([k for k, _ in own]))
+        total, tuning, held = (np.zeros(len(keys), np.uint64) for _ in range(3))
+        for out, role in ((held, 0), (total, 1), (total, 2), (tuning, 2)):
+            out[np.searchsorted(keys, own[role][0])] += own[role][1].astype(np.uint64)
         bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
         starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
         rows = []
         for a, b in zip(starts, np.append(starts[1:], len(keys))):
-            rows.append((n, int(bucket[a]), block, pack(np.diff(keys[a:b], prepend=np.zeros(1, np.uint64))), pack(total[a:b]), pack(tuning[a:b]), (held[a:b] > 0).astype(np.uint8).tobytes()))
+            rows.append((n, int(bucket[a]), block, pack(np.diff(keys[a:b], prepend=np.zeros(1, np.uint64))), pack(total[a:b]), pack(tuning[a:b]), np.packbits(held[a:b] > 0).tobytes()))
         types = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["n", "bucket", "block", "keys", "total", "tuning", "held"])
 
@@ -107,7 +116,7 @@ def requests(docs: DataFrame, bits: int) -> DataFrame:
 
 
 def answers(asked: DataFrame) -> DataFrame:
-    """Corpus counts for every block, but of n-grams with the count one that no text outside training asks for; and the totals."""
+    """Corpus counts for every block and the totals; left out are n-grams with the count zero, or one that no text outside training asks for."""
 
     def merge(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
@@ -122,7 +131,8 @@ def answers(asked: DataFrame) -> DataFrame:
             "n": rows[0]["n"], "bucket": rows[0]["bucket"], "keys": b"", "total": b"", "tuning": b"", "types": int((total > 0).sum()), "tokens": int(total.sum()),
             "tuning_tokens": int(tuning.sum()), "block": None}]
         for r, k, a, b in zip(rows, keys, edges, edges[1:]):
-            wanted = (total[at[a:b]] != 1) | (np.frombuffer(r["held"], np.uint8) > 0)
+            asked_outside = np.unpackbits(np.frombuffer(r["held"], np.uint8), count=b - a).astype(bool)
+            wanted = (total[at[a:b]] > 1) | (total[at[a:b]] == 1) & asked_outside
             where = at[a:b][wanted]
             out.append({
                 "n": r["n"], "bucket": r["bucket"], "keys": pack(np.diff(k[wanted], prepend=np.zeros(1, np.uint64))), "total": pack(total[where]), "tuning": pack(tuning[where]),
@@ -138,7 +148,8 @@ class Counts:
 
     def __init__(self, folder: str, block: int):
         fs, base = storage(f"{folder.rstrip('/')}/block={block}")
-        rows = [r for f in fs.get_file_info(pafs.FileSelector(base)) if f.base_name.endswith(".parquet") for r in pq.ParquetFile(fs.open_input_file(f.path)).read().to_pylist()]
+        files = [f for f in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)) if f.base_name.endswith(".parquet")]
+        rows = [r for f in files for r in pq.ParquetFile(fs.open_input_file(f.path)).read(columns=["n", "keys", "total", "tuning"]).to_pylist()]
         self.by_n = {}
         for n in (1, 2):
             mine = [r for r in rows if r["n"] == n]
@@ -146,14 +157,14 @@ class Counts:
             keys, first = np.unique(np.concatenate(none + [np.cumsum(unpack(r["keys"]), dtype=np.uint64) for r in mine]), return_index=True)
             self.by_n[n] = (keys, *(np.concatenate(none + [unpack(r[c]) for r in mine])[first].astype(float) for c in ("total", "tuning")))
 
-    def of(self, n: int, wanted: np.ndarray, tuning: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Total and tuning counts; without an answer, the n-gram occurs once, in the training document at hand."""
+    def of(self, n: int, wanted: np.ndarray, role: int) -> tuple[np.ndarray, np.ndarray]:
+        """Total and tuning counts. Without an answer the n-gram occurs once, in the training document at hand, or never if it is no training document."""
         keys, total, deleted = self.by_n[n]
         if not len(keys):
-            return np.ones(len(wanted)), np.full(len(wanted), float(tuning))
+            return np.full(len(wanted), float(role > 0)), np.full(len(wanted), float(role == 2))
         at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
         hit = keys[at] == wanted
-        return np.where(hit, total[at], 1.0), np.where(hit, deleted[at], float(tuning))
+        return np.where(hit, total[at], float(role > 0)), np.where(hit, deleted[at], float(role == 2))
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -161,13 +172,13 @@ def bucket_of(context: np.ndarray) -> np.ndarray:
     return np.where(context > 0, np.minimum(np.frexp(np.maximum(context, 1))[1], BUCKETS - 1), 0)
 
 
-def estimates(x: np.ndarray, counts: Counts, tuning: bool, texts: tuple[float, float], size: tuple[float, float], deleted: bool):
+def estimates(x: np.ndarray, counts: Counts, role: int, texts: tuple[float, float], size: tuple[float, float], deleted: bool):
     """(unigram counts, unigram and bigram estimates, context counts) of a document's tokens, with or without the tuning part.
 
     texts: training and tuning documents, the counts of the start context; size: training and tuning tokens.
     """
-    c1, d1 = counts.of(1, unigrams(x), tuning)
-    c2, d2 = counts.of(2, bigrams(x), tuning)
+    c1, d1 = counts.of(1, unigrams(x), role)
+    c2, d2 = counts.of(2, bigrams(x), role)
     context = np.concatenate([[texts[0]], c1[:-1]])
     n = size[0]
     if deleted:
@@ -190,7 +201,7 @@ def tuning_cells(docs: DataFrame, folder: str, texts: tuple[float, float], size:
                 loaded, counts = block, Counts(folder, block)
             cells = []
             for text in texts_of(part.column("text")):
-                _, f1, f2, context = estimates(tokens(text), counts, True, texts, size, True)
+                _, f1, f2, context = estimates(tokens(text), counts, 2, texts, size, True)
                 cells.append((bucket_of(context) * (OCTAVES * STEPS + 1) + quantised(f1)) * (OCTAVES * STEPS + 1) + quantised(f2))
             found, n = np.unique(np.concatenate(cells), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["cell", "n"])
@@ -239,7 +250,7 @@ def score(spark: SparkSession, folder: str, training: Column, tuning: Column, bu
     bits = bucket_bits or max(2, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     docs = blocks(spark, folder, training, tuning)
     place = new_folder(spark, "ngram-counts")
-    answers(requests(docs, bits)).repartition("block").write.partitionBy("block").parquet(place)
+    answers(requests(docs, bits)).repartition("block").write.partitionBy("block").option("compression", "none").parquet(place)  # the blobs are compressed
     totals = spark.read.schema(ANSWER).parquet(place).where("block IS NULL AND n = 1")
     row = totals.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "tokens", "tuning_tokens"))).first()
     parts = spark.read.parquet(folder).select(training.alias("a"), tuning.alias("b")).where("a").agg(F.count("*").alias("n"), F.count_if("b").alias("d")).first()
@@ -257,7 +268,7 @@ def score(spark: SparkSession, folder: str, training: Column, tuning: Column, bu
             out = []
             for role, text in zip(part.column("role").to_pylist(), texts_of(part.column("text"))):
                 x = tokens(text)
-                c1, f1, f2, context = estimates(x, counts, role == 2, texts, size, False)
+                c1, f1, f2, context = estimates(x, counts, role, texts, size, False)
                 w = weights[bucket_of(context)]
                 p = w[:, 0] * uniform + w[:, 1] * f1 + w[:, 2] * f2
                 out.append((len(x) - 1, int((c1 > 0).sum()), float(np.log10((c1 + 1) / (size[0] + types + 1)).sum()), float(np.log10(p).sum())))
