@@ -222,6 +222,39 @@ def ledger_cycle(t: Tables) -> DataFrame:
     return SK.ledger_update(ledger, results, "2024-02-01 01:00:00").select("path", "status", "error")
 
 
+@job("ledger_run", """WITH f AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS path, day(ts) AS d, CASE WHEN event_id % 50 = 3 THEN 'not a number' WHEN event_type IS NULL OR event_id % 70 = 5 THEN 'no type' WHEN day(ts) % 3 = 0 THEN 'closed day' END AS fault FROM events),
+g AS (SELECT path, d, count(*) AS n, count(CASE WHEN fault IS NULL THEN 1 END) AS good, count(CASE WHEN fault = 'not a number' THEN 1 END) AS bad_numbers, count(CASE WHEN fault = 'no type' THEN 1 END) AS no_type, count(CASE WHEN fault = 'closed day' THEN 1 END) AS closed FROM f GROUP BY 1, 2)
+SELECT path, CASE WHEN d % 4 = 0 THEN 'pending' WHEN good = 0 THEN 'error' ELSE 'success' END AS status, CASE WHEN d % 4 <> 0 AND good = 0 THEN 'no good rows' END AS error,
+CASE WHEN d % 4 = 0 THEN 0 ELSE good END AS cleaned, CASE WHEN d % 4 = 0 THEN 0 ELSE bad_numbers END AS bad_numbers, CASE WHEN d % 4 = 0 THEN 0 ELSE no_type END AS no_type, CASE WHEN d % 4 = 0 THEN 0 ELSE closed END AS closed FROM g""")
+def ledger_run(t: Tables) -> DataFrame:
+    """Files landed, the actionable ones cleaned, and everything stored: cleaned rows, dead letters by reason, ledger before and after.
+
+    Files of every fourth day are left for a later run and stay pending. The counts come from the stored tables.
+    """
+    spark, work, e = t.spark, work_dir(t.spark, "ledger"), F.col("event_id")
+    rows = t.raw("events").select(
+        F.to_date("ts").cast("string").alias("path"), "event_id", F.when(e % 70 != 5, F.col("event_type")).alias("kind"), F.when(e % 50 == 3, "n/a").otherwise(F.col("value").cast("string")).alias("value"))
+    rows.write.partitionBy("path").json(f"{work}/zone")
+    zone = spark.read.schema("event_id bigint, kind string, value string, path string").json(f"{work}/zone")
+    SK.ledger_add(zone.select(F.lit("events").alias("source"), "path").distinct(), "2024-02-01 00:00:00").write.parquet(f"{work}/ledger/run=0")
+    ledger = spark.read.schema(SK.LEDGER_SCHEMA).parquet(f"{work}/ledger/run=0")
+    day = F.dayofmonth(F.col("path").cast("date"))
+    todo = SK.ledger_actionable(ledger).where(day % 4 != 0).select("path")
+    fault = F.when(F.col("value").try_cast("double").isNull(), "not a number").when(F.col("kind").isNull(), "no type").when(day % 3 == 0, "closed day")
+    good, bad = SK.quarantine(zone.join(todo, "path", "left_semi"), fault)
+    good.write.parquet(f"{work}/cleaned")
+    bad.write.parquet(f"{work}/dead_letters")
+    cleaned, dead = spark.read.schema(good.schema).parquet(f"{work}/cleaned"), spark.read.schema(bad.schema).parquet(f"{work}/dead_letters")
+    counts = cleaned.groupBy("path").agg(F.count(F.lit(1)).alias("cleaned"))
+    reasons = {"bad_numbers": "not a number", "no_type": "no type", "closed": "closed day"}
+    rejects = dead.groupBy("path").agg(*(F.count_if(F.col("_error") == text).alias(name) for name, text in reasons.items()))
+    results = todo.join(counts, "path", "left").select("path", F.when(F.col("cleaned").isNull(), "no good rows").alias("error"))
+    SK.ledger_update(ledger, results, "2024-02-01 01:00:00").write.parquet(f"{work}/ledger/run=1")
+    after = spark.read.schema(SK.LEDGER_SCHEMA).parquet(f"{work}/ledger/run=1")
+    numbers = ["cleaned", *reasons]
+    return after.join(counts, "path", "left").join(rejects, "path", "left").select("path", "status", "error", *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in numbers))
+
+
 @job("dead_letters", "SELECT CASE WHEN event_id % 50 = 3 THEN 'bad value' ELSE 'good' END AS kind, count(*) AS n FROM events GROUP BY 1")
 def dead_letters(t: Tables) -> DataFrame:
     """Rows split into good ones and dead letters with their fault."""

@@ -51,8 +51,8 @@ FROM v_customer c JOIN v_invoice i ON i.customer_id = c.customer_id JOIN v_line
 JOIN v_employee e ON e.employee_id = l.artist_id GROUP BY c.country, e.name) SELECT country, artist, units_sold FROM v WHERE r = 1""")
 def best_artist_country(t: Tables) -> DataFrame:
     """Best-selling artist per country, ties kept."""
-    sold = _sold(t, t.lines.select("invoice_id", "artist_id", "quantity")).join(t.customers.select("customer_id", "country"), "customer_id")
-    units = sold.groupBy("country", "artist_id").agg(F.sum("quantity").alias("units_sold"))
+    per = _sold(t, t.lines.select("invoice_id", "artist_id", "quantity")).groupBy("customer_id", "artist_id").agg(F.sum("quantity").alias("quantity"))
+    units = per.join(t.customers.select("customer_id", "country"), "customer_id").groupBy("country", "artist_id").agg(F.sum("quantity").alias("units_sold"))
     artists = t.employees.select(F.col("employee_id").alias("artist_id"), F.col("name").alias("artist"))
     return R.top_of_group(units, ["country"], "units_sold").join(artists, "artist_id").select("country", "artist", "units_sold").orderBy("country")
 

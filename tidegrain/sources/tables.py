@@ -22,6 +22,8 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        #: Short name of the folder, for staged tables and views.
+        self.tag = hashlib.md5(self.root.encode()).hexdigest()[:12]
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
@@ -31,8 +33,7 @@ class Tables:
 
         The written table cuts the lineage and survives the loss of an executor; a second job reuses it.
         """
-        tag = hashlib.md5(self.root.encode()).hexdigest()[:12]
-        path = f"{shared_dir(self.spark)}/{self.spark.sparkContext.applicationId}/{tag}/{name}"
+        path = f"{shared_dir(self.spark)}/{self.spark.sparkContext.applicationId}/{self.tag}/{name}"
         if path not in _BUILT:
             writer = build().write.mode("overwrite").option("partitionOverwriteMode", "static")
             if partition_by:
