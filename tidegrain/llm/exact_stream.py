@@ -85,7 +85,7 @@ def deduplicate(spark: SparkSession, folder: str, digest: Callable[[Column], Col
     repeated = small(written(state.where("n > 1").drop("n", "keep_id"), "dedup-repeated"))
     hits = written(docs.join(repeated, "digest").withColumn("is_keeper", (F.col("file") == F.col("keep_file")) & (F.col("row") == F.col("keep_row"))).drop("keep_file", "keep_row"), "dedup-hits")
     kept_text = hits.where("is_keeper").select("digest", F.col("text").alias("kept_text"))
-    other = written(hits.where("NOT is_keeper").join(kept_text, "digest").where("text <> kept_text").select("digest").distinct(), "dedup-collisions")
+    other = written(hits.where("NOT is_keeper").join(kept_text, "digest").where("text <> kept_text").select("digest"), "dedup-collisions")  # nothing behind the join, so a hot digest can be split
     if not other.isEmpty():
         apart = hits.join(other, "digest", "left_semi")
         classes = apart.groupBy("digest", "text").agg(F.max(F.struct("doc_id", "file", "row")).alias("k"), F.count("*").alias("m"))
