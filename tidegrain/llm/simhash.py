@@ -9,6 +9,7 @@ for t = 2 (all of them inside R + t), and two linked fingerprints always meet at
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cache
 from itertools import combinations
 
@@ -193,8 +194,13 @@ def links(fps: DataFrame, threshold: int = 2, piece: int = PIECE) -> DataFrame:
 def grouped(docs: DataFrame, threshold: int, shingle: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, fp) of all documents, and (fp, root, component_id) of the distinct fingerprints; root is the group's least fingerprint."""
     rows = written(with_fingerprints(docs.select("doc_id", "text"), "fp", shingle).select("doc_id", "fp"), "fingerprints")
+    return labelled(rows, lambda classes: links(classes, threshold))
+
+
+def labelled(rows: DataFrame, find_links: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (doc_id, fp), and (fp, root, component_id) of the distinct fp, joined by the links (u, v) that ``find_links`` makes of them."""
     classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = written(connected_components(links(classes, threshold)), "roots")
+    roots = written(connected_components(find_links(classes)), "roots")
     linked = roots.join(classes, roots["node"] == classes["fp"]).select("fp", "root", "least")
     linked = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(F.col("fp").alias("linked_fp"), "root", "component_id")
     classes = classes.join(linked, F.col("fp") == F.col("linked_fp"), "left")
@@ -217,22 +223,26 @@ def near_duplicates(docs: DataFrame, threshold: int = 2, shingle: int = 3) -> Da
 
 def keep_one(docs: DataFrame, threshold: int = 2, shingle: int = 3) -> DataFrame:
     """The documents with one left of each group, that with the smallest doc_id; of rows that share it, the first by fingerprint and text."""
+    return kept(docs, *grouped(docs, threshold, shingle), lambda df, name: with_fingerprints(df, name, shingle))
+
+
+def kept(docs: DataFrame, rows: DataFrame, classes: DataFrame, mark: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """One document of each group that ``labelled`` made; ``mark`` adds their fp to documents under the given name."""
     fp, root = free_name("keep_fp", docs.columns), free_name("keep_root", docs.columns)
-    rows, classes = grouped(docs, threshold, shingle)
     found = written(rows.join(classes, "fp").select("doc_id", "fp", "root", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays")), "groups")
-    marked = with_fingerprints(docs, fp, shingle)
+    marked = mark(docs, fp)
 
     def same(other: DataFrame):
         return marked["doc_id"].eqNullSafe(other["other_id"]) & (marked[fp] == other["other_fp"])
 
     ids = [F.col("doc_id").alias("other_id"), F.col("fp").alias("other_fp")]
     gone = written(found.where("NOT stays").select(*ids).distinct(), "dropped")
-    kept = marked.join(small(gone), same(gone), "left_anti")
+    stay = marked.join(small(gone), same(gone), "left_anti")
     tied = written(found.where("stays").groupBy("root").agg(F.count("*").alias("n")).where("n > 1"), "tied-groups")
     if tied.isEmpty():
-        return kept.select(*docs.columns)
+        return stay.select(*docs.columns)
     rivals = written(found.where("stays").join(tied, "root").select(*ids, F.col("root").alias(root)).distinct(), "tied-rows")
     order = Window.partitionBy(root).orderBy(fp, "text")
     number = free_name("keep_no", docs.columns)
     first = marked.join(small(rivals), same(rivals)).withColumn(number, F.row_number().over(order)).where(F.col(number) == 1)
-    return kept.join(small(rivals), same(rivals), "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))
+    return stay.join(small(rivals), same(rivals), "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))
