@@ -47,6 +47,26 @@ def test_invalid_and_other_strings_stay():
         assert one(v) == v and not ps.replaced(v, KEY)[1], v
 
 
+def test_valid_values_beside_or_inside_failed_readings():
+    cases = [("BE68 5390 0754 7034 EUR", "BE68 5390 0754 7034", "iban"), ("BE68539007547034 2024", "BE68539007547034", "iban"), ("ES91 2100 0418 4502 0005 1332 USD", "ES91 2100 0418 4502 0005 1332", "iban"),
+             ("2025 4337 1665 9846 4399", "4337 1665 9846 4399", "card"), ("AB12 4337 1665 9846 4399", "4337 1665 9846 4399", "card"), ("2001-02-28T10:00:00Z", "2001-02-28", "date")]
+    for text, value, kind in cases:
+        for key in (KEY, *(b"key %d" % i for i in range(40))):
+            new, spans = ps.replaced(text, key)
+            assert [(text[a:b], k) for a, b, k in spans] == [(value, kind)], text
+            assert value not in new and one(new, key, undo=True) == text, (text, key)
+
+
+def test_neighbouring_values_round_trip():
+    rng = random.Random(9)
+    cards = [(body := str(rng.randrange(10**14, 10**15))) + str(ps.luhn(body)) for _ in range(30)]
+    grouped = [" ".join(c[i : i + 4] for i in range(0, 16, 4)) for c in cards]
+    for i in range(300):
+        text = " ".join(rng.choice([*grouped, "2025", "1234", "AB12", "BE68 5390 0754 7034", "EUR", "+1 988 555 2485", "2001-02-28"]) for _ in range(6))
+        new = ps.replaced(text, b"%d" % i)[0]
+        assert one(new, b"%d" % i, undo=True) == text, text
+
+
 def test_spans_point_at_the_originals():
     text = "é: anna@x.org, 42.144.35.254; 2001-02-28."
     _, spans = ps.replaced(text, KEY)

@@ -24,17 +24,24 @@ from tidegrain.llm.common import slices
 ROUNDS = 10
 FIRST_DAY, DAYS = dt.date(1900, 1, 1).toordinal(), dt.date(2100, 1, 1).toordinal() - dt.date(1900, 1, 1).toordinal()
 KINDS = ("card", "iban", "ssn", "phone", "ip", "date", "email")
-NUMBER = re.compile(
-    r"(?<!\w)(?:"
-    r"(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)"
-    r"|(?P<ip>(?<!\d\.)\d{1,3}(?:\.\d{1,3}){3}(?!\.\d))"
-    r"|(?P<iso>\d{4}([-/.])\d{1,2}\4\d{1,2})"
-    r"|(?P<day>\d{1,2}([-/.])\d{1,2}\6\d{4})"
-    r"|(?P<ssn>\d{3}-\d{2}-\d{4})"
-    r"|(?P<card>\d{4}([ -])\d{4}\9\d{4}\9\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})"
-    r"|(?P<nanp>(?:\+?1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4})"
-    r"|(?P<phone>\+\d{1,3}(?:[ .()-]{0,2}\d){6,12})"
-    r")(?!\w)")
+#: What a value of each kind looks like, tried in this order where a word starts. An ISO date may go on with T and a time.
+PATTERNS = {
+    "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+    "ip": r"(?<!\d\.)\d{1,3}(?:\.\d{1,3}){3}(?!\.\d)(?!\w)",
+    "iso": r"\d{4}(?P<m1>[-/.])\d{1,2}(?P=m1)\d{1,2}(?=[Tt]\d|(?!\w))",
+    "day": r"\d{1,2}(?P<m2>[-/.])\d{1,2}(?P=m2)\d{4}(?!\w)",
+    "ssn": r"\d{3}-\d{2}-\d{4}(?!\w)",
+    "card": r"(?:\d{4}(?P<m3>[ -])\d{4}(?P=m3)\d{4}(?P=m3)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\w)",
+    "nanp": r"(?:\+?1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)",
+    "phone": r"\+\d{1,3}(?:[ .()-]{0,2}\d){6,12}(?!\w)"}
+NUMBER = re.compile(r"(?<!\w)(?:" + "|".join(PATTERNS.values()) + ")")
+EACH = {kind: re.compile(r"(?<!\w)" + p) for kind, p in PATTERNS.items()}
+WORD = re.compile(r"\w+|.", re.S)
+#: Characters of the IBANs of each country that has them.
+IBAN_LENGTH = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 "
+    "IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SD18 SE24 SI19 SK24 SM27 "
+    "ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20").split()}
 EMAIL = re.compile(r"(?<![\w.+-])([A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?)@((?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})(?![\w-])")
 
 
@@ -187,24 +194,80 @@ VALIDATED = {
     "iso": ("date", lambda s, move: _date(s, move, ("ymd",))), "day": ("date", lambda s, move: _date(s, move, ("dmy", "mdy")))}
 
 
+def _readings(text: str, start: int) -> Iterator[tuple[int, str]]:
+    """(stop, name) of every reading of the value that starts at ``start``, the preferred first."""
+    for name, pattern in EACH.items():
+        if not (m := pattern.match(text, start)):
+            continue
+        if name == "iban":
+            ends = [i + 1 for i in range(start, m.end()) if text[i] != " " and not re.match(r"\w", text[i + 1 : i + 2])]
+            sizes = {e: len(text[start:e].replace(" ", "")) for e in ends}
+            length = IBAN_LENGTH.get(text[start : start + 2])
+            # Another length than the country's is read from the longest match only; unknown countries may have any.
+            first = [e for e in ends if sizes[e] == length]
+            rest = [e for e in reversed(ends) if e not in first and sizes[e] >= 15]
+            yield from ((e, name) for e in first + [e for e in rest if length is None or e == m.end()])
+        else:
+            yield m.end(), name
+
+
+def _found(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
+    """(start, stop, name) of the valid values in ``text``, and of the readings before them that failed."""
+    values = [(m.start(), m.end(), "email") for m in EMAIL.finditer(text) if _email(m[1], m[2], _same)] if "@" in text else []
+    taken, failed, at = list(values), [], 0
+    while m := NUMBER.search(text, at):
+        start, at = m.start(), 0
+        for stop, name in _readings(text, start):
+            if any(start < b and a < stop for a, b, _ in taken):
+                continue
+            if VALIDATED[name][1](text[start:stop], _same):
+                values.append((start, stop, name))
+                at = stop
+                break
+            failed.append((start, stop, name))
+        at = at or WORD.match(text, start).end()
+    return sorted(values), failed
+
+
+def _same(kind, n, index, valid=lambda i: True):
+    return index
+
+
 def replacements(text: str, key: bytes, undo: bool = False) -> Iterator[tuple[int, int, str, str]]:
-    """(start, stop, kind, pseudonym) of the values found in ``text``, in order."""
+    """(start, stop, kind, pseudonym) of the values found in ``text``, in order.
+
+    Where a reading that failed overlaps a value, the pseudonym is permuted on until the reading still fails, so that the result is
+    read like the original. For that, values are replaced from the left and undone from the right.
+    """
 
     def move(kind, n, index, valid=lambda i: True):
         return permute(key, kind, n, index, valid, undo)
 
+    values, failed = _found(text)
+    now: dict[tuple[int, int], str] = {}
+
+    def as_read(start: int, stop: int) -> str:
+        chars = list(text[start:stop])
+        for (a, b), new in now.items():
+            if a < stop and start < b and len(new) == b - a:
+                for i in range(max(a, start), min(b, stop)):
+                    chars[i - start] = new[i - a]
+        return "".join(chars)
+
     found = []
-    if "@" in text:
-        for m in EMAIL.finditer(text):
-            if new := _email(m[1], m[2], move):
-                found.append((m.start(), m.end(), "email", new))
-    taken = list(found)
-    for m in NUMBER.finditer(text):
-        if any(m.start() < stop and start < m.end() for start, stop, _, _ in taken):
+    for start, stop, name in reversed(values) if undo else values:
+        old = text[start:stop]
+        if name == "email":
+            local, _, domain = old.partition("@")
+            found.append((start, stop, "email", _email(local, domain, move)))
             continue
-        kind, build = VALIDATED[m.lastgroup]
-        if new := build(m[0], move):
-            found.append((m.start(), m.end(), kind, new))
+        kind, build = VALIDATED[name]
+        near = [(a, b, other) for a, b, other in failed if a < stop and start < b]
+        new = build(old, move)
+        now[start, stop] = new
+        while any(VALIDATED[other][1](as_read(a, b), _same) for a, b, other in near):
+            now[start, stop] = new = build(new, move)
+        found.append((start, stop, kind, new))
     return iter(sorted(found))
 
 
@@ -223,7 +286,8 @@ def pseudonymize(docs: DataFrame, key: bytes, undo: bool = False) -> DataFrame:
 
     spans holds (start, stop, kind) in characters of the input. Cards pass the Luhn check and keep their first digit, IBANs their
     mod-97 check and country, telephone numbers their country code, dates (1900 to 2099) their order of fields, e-mail addresses
-    their domain; strings that fail validation stay as they are. Null text stays null without spans, empty text empty. A key has 1 to 64
+    their domain; strings that no reading makes valid stay as they are. A value that overlaps a reading that failed may get another
+    pseudonym than elsewhere, where its usual one would make that reading valid. Null text stays null without spans, empty text empty. A key has 1 to 64
     bytes; ``undo`` turns pseudonyms back. Other columns are not read; repeated rows come out alike.
     """
     kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.string())]))
