@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -58,6 +59,19 @@ def test_state_grows_with_new_files(spark, tmp_path):
     assert sorted(map(repr, map(tuple, exact_stream.deduplicate(spark, folder, checkpoint=state).collect()))) == sorted(map(repr, brute(first + second)))
 
 
+def test_new_files_with_old_modification_times_are_read(spark, tmp_path):
+    folder, state = tmp_path / "in", f"file://{tmp_path}/state"
+    first, second = rows()[:60], rows()[60:]
+    spark.createDataFrame(first, "doc_id long, text string").write.parquet(str(folder))
+    exact_stream.deduplicate(spark, str(folder), checkpoint=state).count()
+    seen = set(folder.glob("*.parquet"))
+    spark.createDataFrame(second, "doc_id long, text string").write.mode("append").parquet(str(folder))
+    for path in set(folder.glob("*.parquet")) - seen:
+        os.utime(path, (1_000_000_000, 1_000_000_000))
+    got = exact_stream.deduplicate(spark, str(folder), checkpoint=state).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute(first + second)))
+
+
 def test_single_file_and_empty_table(spark, tmp_path):
     save(spark, str(tmp_path / "in"), rows(), 1)
     (part,) = (tmp_path / "in").glob("*.parquet")

@@ -24,6 +24,9 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
+#: Files never become too old to be read (some 270 years).
+NO_AGE = "100000d"
+
 
 def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
@@ -44,7 +47,8 @@ def run_stream(spark: SparkSession, folder: str, checkpoint: str, digest: Callab
     try:
         path, name = folder.rstrip("/").rpartition("/")[::2]
         some = spark.read.parquet(folder).select("_metadata.file_name").first()
-        reader = spark.readStream.schema(spark.read.parquet(folder).schema)
+        # without the age, a file of a modification time long before the newest one's would never be read
+        reader = spark.readStream.schema(spark.read.parquet(folder).schema).option("maxFileAge", NO_AGE)
         if some and some["file_name"] == name:  # a single file: the stream watches its folder for this name
             folder, reader = path, reader.option("pathGlobFilter", name)
         if files_at_once:
