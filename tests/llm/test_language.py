@@ -61,7 +61,7 @@ def test_counts_cover_all_training_rows(spark, learned):
 
 def test_full_mixture_equals_plain_loops(learned):
     _, langs, model = learned
-    texts = [t for _, t, _ in fixture() if t and language.LETTER.search(t)][:40]
+    texts = [t for _, t, _ in fixture() if t and language.has_letter(t)][:40]
     cells, first, bounds = language.trigrams([t.encode() for t in texts])
     logs = np.add.reduceat(model[cells], first, axis=0).astype(float)
     like = np.exp(np.maximum(logs - logs.max(axis=1, keepdims=True), -80))
@@ -97,3 +97,34 @@ def test_held_out_accuracy(spark):
     held = crc_mod("doc_id", 3) == 1
     rows = language.identify(docs, ~held).join(docs.where(held).select("doc_id", "lang"), "doc_id").collect()
     assert len(rows) > 30 and np.mean([r["lang"] == r["lang_pred"] for r in rows]) >= 0.97
+
+
+def test_numerals_are_no_letters(spark, learned):
+    _, langs, model = learned
+    docs = spark.createDataFrame([(1, "½ ²"), (2, "①"), (3, "Ⅷ 12"), (4, "½ ñ")], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs, langs, model).collect()}
+    assert [got[i] for i in (1, 2, 3)] == ["und"] * 3 and got[4] != "und"
+
+
+def test_the_best_nested_set_is_chosen():
+    """Every nested set is compared, also behind one that is worse than its predecessor."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join("".join(rng.choice(list(a), 6)) for a in rng.choice(["abcd", "efgh", "ijkl"], n)).encode() for n in (3, 9, 40, 200)]
+    model = np.full((1 << language.CELL_BITS, 3), language.ALPHA)
+    for k, a in enumerate(("abcd", "efgh", "ijkl")):
+        cells, _, _ = language.trigrams([" ".join("".join(rng.choice(list(a), 6)) for _ in range(3000)).encode()])
+        np.add.at(model[:, k], cells, 1)
+    model = np.log(model / model.sum(axis=0)).astype(np.float32)
+    got = language.proportions(texts, model)
+    cells, first, bounds = language.trigrams(texts)
+    for d, text in enumerate(texts):
+        logs = np.add.reduceat(model[cells], first, axis=0).astype(float)[bounds[d] : bounds[d + 1]]
+        like = np.exp(np.maximum(logs - logs.max(axis=1, keepdims=True), -80))
+        one, n = np.zeros(len(like), int), len(like)
+        ends = (np.array([0]), np.array([n]))
+        order = np.argsort(-language._em(like, one, *ends, np.ones((1, 3), bool))[0][0], kind="stable")
+        values = []
+        for k in range(1, 4):
+            share, fit = language._em(like, one, *ends, np.isin(np.arange(3), order[:k])[None])
+            values.append((fit[0] - language.PENALTY * np.log(n + 1) * (k - 1), share[0]))
+        assert np.allclose(got[d], max(values, key=lambda v: v[0])[1], atol=1e-6)

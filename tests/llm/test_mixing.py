@@ -106,3 +106,16 @@ def test_empty_tables(spark):
     blank = frame(spark, [(1, None, "a"), (2, " ", None)])
     assert sorted((r["doc_id"], r["size"], r["taken"], r["target"]) for r in mixing.shares(blank).collect()) == [(1, 0, 0, 0.0), (2, 0, 0, 0.0)]
     assert mixing.draw(blank).collect() == []
+
+
+def test_draw_with_clashing_column_names(spark):
+    rows = fixture(5)
+    docs = frame(spark, rows)
+    extra = docs
+    for name in ("mix_words", "mix_time", "mix_no", "copies", "first", "n", "mix_id", "sid", "size"):
+        extra = extra.withColumn(name, F.lit(name))
+    drawn = mixing.draw(extra, block=16)
+    assert drawn.schema == extra.schema
+    key = ["doc_id", "text", "source"]
+    assert sorted(map(repr, drawn.select(*key).collect())) == sorted(map(repr, mixing.draw(docs, block=16).select(*key).collect()))
+    assert drawn.where("copies <> 'copies' OR mix_time <> 'mix_time'").count() == 0

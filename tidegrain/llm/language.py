@@ -8,8 +8,6 @@ the one with the best likelihood less a penalty per further language is taken.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,7 +19,6 @@ from tidegrain.llm.common import free_name, slices, texts_of, written
 CELL_BITS = 16
 #: Smoothing count per cell, EM rounds, and the penalty per further language as a multiple of log(words).
 ALPHA, ROUNDS, PENALTY = 0.1, 12, 4.0
-LETTER = re.compile(r"[^\W\d_]")
 #: Bytes that count as letters: a-z, A-Z (as a-z) and all of multi-byte characters; the others are blanks (0).
 FOLD = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 0 for c in range(256)], np.uint8)
 
@@ -40,6 +37,11 @@ def trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return cells, np.searchsorted(ends, starts), np.searchsorted(starts, bounds)
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter of any script; fractions, circled digits and Roman number signs are numerals, not letters."""
+    return any(map(str.isalpha, text))
+
+
 def learn(docs: DataFrame, training: Column) -> tuple[list[str], np.ndarray]:
     """Languages in code-point order and the log probabilities (cell, language), from all training rows with a language.
 
@@ -114,8 +116,8 @@ def proportions(texts: list[bytes], model: np.ndarray) -> np.ndarray:
         better = value > best[todo]
         best[todo[better]] = value[better]
         out[todo[better]] = share[better]
-        # a next language can only be worth its penalty in documents where the full mixture gives it some weight
-        todo = todo[better]
+        # a next language can only be worth its penalty in documents where the full mixture gives it some weight; a set that
+        # is no better than the one before doesn't end the search
         todo = todo[(np.where(rank[todo] == n, everything[todo], 0).sum(axis=1) * (ends - starts)[todo]) > 0.5] if n < model.shape[1] else todo[:0]
         if not len(todo):
             break
@@ -133,7 +135,7 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, names: tuple[s
         shares = proportions([(t or "").encode() for t in texts], shared.value)
         pred, score, parts = [], [], []
         for text, row in zip(texts, shares):
-            if text and row.any() and LETTER.search(text):
+            if text and row.any() and has_letter(text):
                 k = int(row.argmax())
                 pred.append(langs[k])
                 score.append(min(1.0, float(row[k])))
@@ -155,15 +157,15 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, names: tuple[s
 def identify(docs: DataFrame, training: Column) -> DataFrame:
     """(doc_id, lang_pred, score, lang_shares), one row per document; learned from the rows where ``training`` holds and lang is set.
 
-    score is the proportion of lang_pred. Null texts, texts without a letter, and any text if nothing was learned, are ``und`` with
+    score is the proportion of lang_pred. Null texts, texts without a letter (numerals are none), and any text if nothing was learned, are ``und`` with
     score 0. Language, source and id are no inputs of a prediction. Rows with equal texts are predicted alike.
     """
     langs, model = learn(docs, training)
     return predict(docs.select("doc_id", "text"), langs, model).select("doc_id", "lang_pred", F.col("lang_score").alias("score"), "lang_shares")
 
 
-def keep_identified(docs: DataFrame, training: Column, least: float = 0.5) -> DataFrame:
-    """The documents with one main language: those whose prediction isn't ``und`` and has a proportion of ``least`` or more."""
+def keep_identified(docs: DataFrame, training: Column, least: float = 0.0) -> DataFrame:
+    """The documents whose prediction isn't ``und`` and has a proportion of ``least`` or more; by default mixtures without a majority stay."""
     langs, model = learn(docs, training)
     names = tuple(free_name(n, docs.columns) for n in ("lang_pred", "lang_score", "lang_shares"))
     found = predict(docs, langs, model, names)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import small, words_of, written
+from tidegrain.llm.common import free_name, small, words_of, written
 
 BLOCK = 4096
 #: Slots that are ranked together, and hexadecimal digits of the shuffling digest that name a chunk of documents.
@@ -143,20 +143,25 @@ def draw(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, b
     lots = rows.where("size > 0").join(copies, ["sid", "first"], "left")
     lots = written(lots.select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("size").alias("mix_size"), "first", F.coalesce("copies", _long(0)).alias("copies")), "mix-copies")
     key = ["mix_id", "mix_source", "mix_size"]
-    marked = docs.withColumn("mix_words", F.size(words_of(F.col("text"))).cast("long")).where("mix_words > 0")
+    words, time, number = (free_name(n, [*docs.columns, *lots.columns]) for n in ("mix_words", "mix_time", "mix_no"))
+    # the names of the lots are chosen apart from those of the documents
+    lots = lots.select(*(F.col(c).alias(free_name(c, docs.columns)) for c in lots.columns))
+    key, first, copies = [free_name(c, docs.columns) for c in key], free_name("first", docs.columns), free_name("copies", docs.columns)
+    marked = docs.withColumn(words, F.size(words_of(F.col("text"))).cast("long")).where(F.col(words) > 0)
 
     def same(other: DataFrame) -> Column:
-        return F.col("doc_id").eqNullSafe(other["mix_id"]) & F.col("source").eqNullSafe(other["mix_source"]) & (F.col("mix_words") == other["mix_size"])
+        return F.col("doc_id").eqNullSafe(other[key[0]]) & F.col("source").eqNullSafe(other[key[1]]) & (F.col(words) == other[key[2]])
 
     def repeated(found: DataFrame) -> DataFrame:
-        return found.where("copies > 0").withColumn("mix_time", F.explode(F.sequence(_long(1), F.col("copies")))).select(*(docs[c] for c in docs.columns))
+        return found.where(F.col(copies) > 0).withColumn(time, F.explode(F.sequence(_long(1), F.col(copies)))).select(*(docs[c] for c in docs.columns))
 
-    shared = written(lots.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").drop("n"), "mix-shared")
+    shared = written(lots.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key), "mix-shared")
     if shared.isEmpty():
         return repeated(marked.join(lots, same(lots)))
     # Rows that agree in id, source and size are told apart by their order.
     alone = marked.join(shared, same(shared), "left_anti")
-    again = marked.join(shared, same(shared), "left_semi").withColumn("mix_no", F.row_number().over(Window.partitionBy("doc_id", "source", "mix_words").orderBy("text")))
-    numbered = lots.withColumn("no", F.row_number().over(Window.partitionBy(*key).orderBy("first")))
-    single = numbered.where("no = 1")
-    return repeated(alone.join(single, same(single))).unionByName(repeated(again.join(numbered, same(numbered) & (F.col("mix_no") == F.col("no")))))
+    again = marked.join(shared, same(shared), "left_semi").withColumn(number, F.row_number().over(Window.partitionBy("doc_id", "source", words).orderBy("text")))
+    place = free_name("mix_place", docs.columns)
+    numbered = lots.withColumn(place, F.row_number().over(Window.partitionBy(*key).orderBy(first)))
+    single = numbered.where(F.col(place) == 1)
+    return repeated(alone.join(single, same(single))).unionByName(repeated(again.join(numbered, same(numbered) & (F.col(number) == F.col(place)))))
