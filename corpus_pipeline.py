@@ -7,22 +7,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrain.llm import contamination, language, mixing, similar, token_files
+from tidegrain.llm import contamination, language, mixing, simhash, token_files
 from tidegrain.llm.common import crc_mod, table, written
 from tidegrain.llm.queries import TOKENIZER
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a main language (no letters, or no language with half of the words) go."""
+    """Documents without a language (no letters) go; mixtures of several languages stay."""
     return language.keep_identified(docs, crc_mod("doc_id", 3) != 1)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: five-word shingles, Jaccard similarity of 0.8 or more.
-
-    SimHash anchors within two bits miss most such copies, so the links are those of the prefix join, which misses none.
-    """
-    return similar.keep_one(docs, 0.8, 5)
+    """One document of each group of fingerprints within two bits stays, that with the smallest doc_id."""
+    return simhash.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
