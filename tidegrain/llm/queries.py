@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrain.llm import contamination, exact_stream, interpolation, language, mixing, periodic, pseudonyms, simhash, substring, token_files, warc
+from tidegrain.llm import contamination, exact_stream, interpolation, language, mixing, periodic, phrases, pseudonyms, simhash, substring, token_files, warc
 from tidegrain.llm.common import crc_mod, table
 
 #: Key of the registered query; a real job passes its own secret.
@@ -59,13 +59,17 @@ def op10_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return substring.digests(substring.remove_repeated(table(spark, root, "documents")))
 
 
+def op11_collocations(spark: SparkSession, root: str) -> DataFrame:
+    return phrases.collocations(table(spark, root, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, root: str) -> DataFrame:
     return periodic.digests(periodic.periodic_runs(periodic.with_planted_tails(table(spark, root, "documents"))))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_deleted_interpolation, op2_mix_sources, op3_exact_dedup, op4_language_id, op5_decontaminate, op6_pseudonymize, op7_token_files, op8_simhash_near_dedup, op9_warc_split_reader,
-    op10_substring_dedup, op13_periodic_runs)}
+    op10_substring_dedup, op11_collocations, op13_periodic_runs)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -122,4 +126,21 @@ ORACLE_SQL = {
         kept AS (SELECT words.doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY words.doc_id)
         SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id""",
+    "op11_collocations": r"""
+        WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        pieces AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM d),
+        places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS p FROM pieces),
+        grams AS (SELECT lang, m, array_to_string(w[p:p + m - 1], ' ') AS k FROM (SELECT lang, w, p, unnest(range(1, least(5, len(w) - p + 1) + 1)) AS m FROM places) s),
+        f AS (SELECT lang, m, k, count(*) AS c FROM grams GROUP BY lang, m, k HAVING count(*) >= 100),
+        totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+        cand AS (SELECT lang, m, k, c AS a, string_split(k, ' ') AS w FROM f WHERE m > 1),
+        sub AS (SELECT lang, a, array_to_string(w[p:p + q - 1], ' ') AS k FROM (SELECT lang, a, m, w, q, unnest(range(1, m - q + 2)) AS p FROM (SELECT *, unnest(range(2, m)) AS q FROM cand) s) s),
+        longer AS (SELECT lang, k, max(a) AS most FROM sub GROUP BY lang, k),
+        kept AS (SELECT cand.* FROM cand LEFT JOIN longer USING (lang, k) WHERE most IS NULL OR 100 * most < 100 * a),
+        cuts AS (SELECT lang, k, a, i, array_to_string(w[1:i], ' ') AS lk, array_to_string(w[i + 1:m], ' ') AS rk FROM (SELECT *, unnest(range(1, m)) AS i FROM kept) s),
+        scored AS (SELECT cuts.lang, cuts.k, a, i, fl.c AS l, fr.c AS r, n, (1000::HUGEINT * a * n // (fl.c::HUGEINT * fr.c))::BIGINT AS score
+                   FROM cuts JOIN f fl ON fl.lang = cuts.lang AND fl.k = lk JOIN f fr ON fr.lang = cuts.lang AND fr.k = rk JOIN totals ON totals.lang = cuts.lang),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, k ORDER BY score, i) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, k) AS rank, k AS phrase, a, l, r, n, score FROM best
+        QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, k) <= 2000""",
 }
