@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrain.llm import contamination, exact_stream, interpolation, language, mixing, periodic, phrases, pseudonyms, simhash, substring, token_files, warc
+from tidegrain.llm import contamination, credentials, exact_stream, interpolation, language, mixing, periodic, phrases, pseudonyms, simhash, substring, token_files, warc
 from tidegrain.llm.common import crc_mod, table
 
 #: Key of the registered query; a real job passes its own secret.
@@ -63,13 +63,17 @@ def op11_collocations(spark: SparkSession, root: str) -> DataFrame:
     return phrases.collocations(table(spark, root, "documents"))
 
 
+def op12_secret_scan(spark: SparkSession, root: str) -> DataFrame:
+    return credentials.digests(credentials.find_secrets(table(spark, root, "documents")))
+
+
 def op13_periodic_runs(spark: SparkSession, root: str) -> DataFrame:
     return periodic.digests(periodic.periodic_runs(periodic.with_planted_tails(table(spark, root, "documents"))))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_deleted_interpolation, op2_mix_sources, op3_exact_dedup, op4_language_id, op5_decontaminate, op6_pseudonymize, op7_token_files, op8_simhash_near_dedup, op9_warc_split_reader,
-    op10_substring_dedup, op11_collocations, op13_periodic_runs)}
+    op10_substring_dedup, op11_collocations, op12_secret_scan, op13_periodic_runs)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
