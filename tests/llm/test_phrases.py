@@ -89,6 +89,25 @@ def test_trie_bursts_and_spills():
     assert got == want and not trie.root and trie.size == 0
 
 
+def test_pair_filter_ends_windows(spark):
+    rng = np.random.default_rng(3)
+    pairs = sorted({(int(a), int(b)) for a, b in rng.integers(1, 40, (200, 2))})
+    keep = phrases.PairFilter.of(spark.createDataFrame([(a << 32 | b,) for a, b in pairs], "k1 long").repartition(3))
+    assert keep.holds(np.array([a << 32 | b for a, b in pairs])).all()
+    others = np.array([a << 32 | b for a in range(40, 140) for b in range(1, 100)])
+    assert keep.holds(others).mean() < 0.05
+    ids = rng.integers(0, 40, 900).astype(np.int32)
+    want = []
+    for i in range(890):
+        w = [int(ids[i])]
+        while len(w) < 4 and ids[i + len(w)] and w[-1] and keep.holds(np.array([w[-1] << 32 | int(ids[i + len(w)])]))[0]:
+            w.append(int(ids[i + len(w)]))
+        if len(w) > 2:
+            want.append(w + [0] * (4 - len(w)))
+    assert phrases.windows(ids, 890, 4, keep).tolist() == want and want
+    assert not phrases.PairFilter.of(spark.createDataFrame([], "k1 long")).holds(others).any()
+
+
 def test_long_texts_are_cut_between_words(monkeypatch):
     data = b"one two  three\nfour five six\n\nseven"
     for most in (1, 4, 9, 100):

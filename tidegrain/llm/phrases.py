@@ -1,11 +1,13 @@
 """Collocations: phrases counted in HAT-tries that spill sorted runs, and scored by their weakest cut.
 
-Words that occur often enough to be part of a phrase get numbers; all others end a window. Every position gives one window of up to
-``longest`` numbered words. A task counts its windows in a HAT-trie: a shallow trie over word numbers whose leaves are hash containers
-of the rest of the window. A container that grows too large bursts into one per next word; a trie that grows too large spills its largest
-subtrees as sorted runs. Runs are ranged over partitions by prefix and merged there; in the merged order all windows that begin
-with a phrase are neighbours, so the counts of all prefixes come out of one scan. A phrase that lies on the border of two pieces of the scan
-is summed up afterwards with its other part. Counts are exact: words are compared as words, never as hashes.
+Words that occur often enough to be part of a phrase get numbers; all others end a window. First all pairs of neighbouring words are
+counted. Then every position gives one window of up to ``longest`` words, which ends before a pair that is too rare to be part of a
+phrase; the frequent pairs are known by a filter of bits that never misses one. A task counts its pairs and its windows in a HAT-trie: a
+shallow trie over word numbers whose leaves are hash containers of the rest of the window. A container that grows too large bursts into
+one per next word; a trie that grows too large spills its largest subtrees as sorted runs. Runs of windows are ranged over partitions by
+prefix and merged there; in the merged order all windows that begin with a phrase are neighbours, so the counts of all prefixes come out
+of one scan. A phrase that lies on the border of two pieces of the scan is summed up afterwards with its other part. Counts are exact:
+words are compared as words, never as hashes.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import UPPER, slices, small, texts_of, written
+from tidegrain.llm.common import UPPER, mix, slices, small, texts_of, written
 from tidegrain.operators.ranking import global_row_number
 
 #: A-Z lower-cased, the marks that end a piece as line feeds, the tab as a space.
@@ -26,7 +28,11 @@ FOLD = bytes.maketrans(UPPER.encode() + b".,;:!?\x0b\x0c\x0d\t", UPPER.lower().e
 #: Words that are broadcast with their numbers, the most frequent first; the rest is looked up by a join.
 MOST_WORDS = 500_000
 #: Entries of a container before it bursts, and of a task's trie before it spills; distinct words a task counts before it hands them on.
-BURST, ENTRIES, COUNTED = 4096, 300_000, 300_000
+BURST, ENTRIES, COUNTED = 4096, 600_000, 300_000
+#: Bits of the filter for a frequent pair, and in all (32 MB); more pairs let more windows pass that are counted in vain.
+PAIR_BITS, MOST_BITS = 16, 28
+#: Rows with arrays of word numbers that may be broadcast.
+BROADCAST_PHRASES = 200_000
 #: Bytes of text handled together; a longer text is cut between words.
 SLICE = 2 << 20
 KEYS = ["k1", "k2", "k3"]
@@ -145,11 +151,60 @@ class HatTrie:
             yield rows[by], np.array(counts, np.int64)[by]
 
 
-def windows(ids: np.ndarray, stop: int, longest: int) -> np.ndarray:
-    """The windows of two or more words that begin before ``stop``; 0 in ``ids`` ends a window."""
-    rows = np.lib.stride_tricks.sliding_window_view(np.concatenate([ids, np.zeros(longest - 1, ids.dtype)]), longest)[:stop]
-    rows = rows[(rows[:, 0] > 0) & (rows[:, 1] > 0)]
-    return rows * np.logical_and.accumulate(rows > 0, axis=1)
+class PairFilter:
+    """A set of pairs of word numbers, packed into one key each; it holds all that were put in, and few others."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.mask = bits, np.uint64(64 * len(bits) - 1)
+
+    @staticmethod
+    def places(keys: np.ndarray, mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+        """Two bits of the filter for each key."""
+        h = mix(keys.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+        return h & mask, (h >> np.uint64(32)) & mask
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        out = np.ones(len(keys), bool)
+        for at in self.places(keys, self.mask):
+            out &= (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        return out
+
+    @classmethod
+    def of(cls, pairs: DataFrame) -> PairFilter:
+        """The filter of the keys ``k1``, of a size set by their number up to 2^MOST_BITS bits; tasks hand on the words of it they touch."""
+        size = min(MOST_BITS, max(6, int(pairs.count() * PAIR_BITS).bit_length()))
+        mask = np.uint64((1 << size) - 1)
+
+        def run(batches):
+            for batch in batches:
+                at = np.concatenate(cls.places(batch.column("k1").to_numpy(), mask))
+                at = np.unique(at)
+                word, start = np.unique((at >> np.uint64(6)).astype(np.int64), return_index=True)
+                if len(word):
+                    bits = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), start)
+                    yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bits.view(np.int64))], ["word", "bits"])
+
+        found = pairs.select("k1").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        bits = np.zeros(1 << (size - 6), np.uint64)
+        bits[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+        return cls(bits)
+
+
+def windows(ids: np.ndarray, stop: int, longest: int, frequent: PairFilter | None = None) -> np.ndarray:
+    """The windows that begin before ``stop``; 0 in ``ids`` ends a window, and so does a pair that is not ``frequent``.
+
+    Without a filter all windows of two or more words, with it those of three or more.
+    """
+    ids = np.concatenate([ids, np.zeros(longest - 1, ids.dtype)]).astype(np.int64)
+    links = (ids[:-1] > 0) & (ids[1:] > 0)
+    if frequent is not None:
+        at = np.flatnonzero(links)
+        links[at] = frequent.holds(ids[at] << 32 | ids[at + 1])
+    goes_on = np.lib.stride_tricks.sliding_window_view(links, longest - 1)[:stop]
+    first = np.flatnonzero(goes_on[:, : 1 if frequent is None else 2].all(axis=1))
+    rows = np.lib.stride_tricks.sliding_window_view(ids, longest)[first]  # a copy
+    rows[:, 1:] *= np.logical_and.accumulate(goes_on[first], axis=1)
+    return rows
 
 
 def _packed(rows: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -177,14 +232,14 @@ class Numbers(dict):
         return ids, words
 
 
-def _counted(parts: Iterator[tuple[np.ndarray, bool]], longest: int, burst: int, entries: int) -> Iterator[pa.RecordBatch]:
+def _counted(parts: Iterator[tuple[np.ndarray, bool]], longest: int, frequent: PairFilter | None, burst: int, entries: int) -> Iterator[pa.RecordBatch]:
     """Sorted runs of the windows of arrays of numbers; the flag tells whether a window may go on into the next array."""
     trie, tail = HatTrie(longest, burst, entries), np.zeros(0, np.int32)
     for ids, goes_on in parts:
         ids = np.concatenate([tail, ids])
         stop = max(0, len(ids) - longest + 1) if goes_on else len(ids)
         for a in range(0, stop, entries):
-            trie.add(windows(ids[a : a + entries + longest - 1], min(entries, stop - a), longest))
+            trie.add(windows(ids[a : a + entries + longest - 1], min(entries, stop - a), longest, frequent))
             if trie.size > entries:
                 for run in trie.spill(entries // 2):
                     yield from _packed(*run)
@@ -193,67 +248,78 @@ def _counted(parts: Iterator[tuple[np.ndarray, bool]], longest: int, burst: int,
         yield from _packed(*run)
 
 
-def window_runs(docs: DataFrame, vocabulary: DataFrame, longest: int, most_words: int, burst: int, entries: int) -> DataFrame:
-    """(k1, k2, k3, n): the sorted runs of all tasks, two word numbers in a key.
+def _from_texts(known: dict[str, dict[bytes, int]], batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, bool]]:
+    tables: dict[str, Numbers] = {}
+    for batch in slices(batches, "text", SLICE):
+        for lang, data in by_language(batch):
+            if lang not in tables:
+                tables[lang] = Numbers(known.get(lang, {}), 0)
+            for part in segments(data):
+                ids, _ = tables[lang].of(part)
+                yield ids[ids >= 0], True
+            yield np.zeros(1, np.int32), False
+
+
+def _from_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, bool]]:
+    for batch in batches:
+        for ids, found in zip(batch.column("ids"), batch.column("found").to_pylist()):
+            ids = ids.values.to_numpy(zero_copy_only=False).astype(np.int32)
+            at = np.flatnonzero(ids == -2)
+            ids[at] = 0
+            for x in found or []:
+                ids[at[x["pos"]]] = x["id"]
+            yield ids, True
+            yield np.zeros(1, np.int32), False
+
+
+class Corpus:
+    """The documents with their words numbered, to be counted more than once.
 
     ``vocabulary`` (lang, word, n, id) is a written table numbered by falling n. Its first ``most_words`` words are broadcast; if
-    there are more, their places in the texts are numbered by a join on the word.
+    there are more, the places of the others in the texts are numbered by a join on the word, and the numbers written.
     """
-    known: dict[str, dict[bytes, int]] = {}
-    frequent = vocabulary.where(F.col("id") <= most_words).select("lang", "word", "id").toArrow()
-    for lang, word, number in zip(*(frequent.column(c).to_pylist() for c in ("lang", "word", "id"))):
-        known.setdefault(lang, {})[word.encode()] = number
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-    rest = vocabulary.where(F.col("id") > most_words).select("lang", "word", F.col("id").cast("int").alias("id"))
-
-    def from_texts(batches):
-        def parts():
-            tables: dict[str, Numbers] = {}
+
+    def __init__(self, docs: DataFrame, vocabulary: DataFrame, most_words: int = MOST_WORDS):
+        known: dict[str, dict[bytes, int]] = {}
+        frequent = vocabulary.where(F.col("id") <= most_words).select("lang", "word", "id").toArrow()
+        for lang, word, number in zip(*(frequent.column(c).to_pylist() for c in ("lang", "word", "id"))):
+            known.setdefault(lang, {})[word.encode()] = number
+        shared = docs.sparkSession.sparkContext.broadcast(known)
+        rest = vocabulary.where(F.col("id") > most_words).select("lang", "word", F.col("id").cast("int").alias("id"))
+        if rest.isEmpty():
+            self.rows, self.parts = docs, lambda batches: _from_texts(shared.value, batches)
+            return
+
+        def looked_up(batches):
             for batch in slices(batches, "text", SLICE):
-                for lang, data in by_language(batch):
-                    table = tables.setdefault(lang, Numbers(shared.value.get(lang, {}), 0))
-                    for part in segments(data):
-                        ids, _ = table.of(part)
-                        yield ids[ids >= 0], True
-                    yield np.zeros(1, np.int32), False
+                out = []
+                for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch.column("text"))):
+                    ids, words = Numbers(shared.value.get(lang, {}), -2).of(text.translate(FOLD))
+                    out.append((ids[ids != -1], [words[k] for k in np.flatnonzero(ids == -2)]))
+                others = pa.array([[w.decode() for w in words] for _, words in out], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row"), batch.column("lang"), pa.array([i for i, _ in out], pa.list_(pa.int32())), others], ["row", "lang", "ids", "others"])
 
-        yield from _counted(parts(), longest, burst, entries)
+        rows = docs.select(F.monotonically_increasing_id().alias("row"), "lang", "text").mapInArrow(looked_up, "row long, lang string, ids array<int>, others array<string>")
+        rows = written(rows, "phrase-numbers")
+        places = rows.select("row", "lang", F.posexplode("others").alias("pos", "word")).join(rest, ["lang", "word"])
+        found = places.groupBy("row").agg(F.collect_list(F.struct("pos", "id")).alias("found"))
+        self.rows, self.parts = written(rows.select("row", "ids").join(found, "row", "left").select("ids", "found"), "phrase-rows"), _from_numbers
 
-    def looked_up(batches):
-        for batch in slices(batches, "text", SLICE):
-            out = []
-            for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch.column("text"))):
-                ids, words = Numbers(shared.value.get(lang, {}), -2).of(text.translate(FOLD))
-                out.append((ids[ids != -1], [words[k] for k in np.flatnonzero(ids == -2)]))
-            others = pa.array([[w.decode() for w in words] for _, words in out], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("lang"), pa.array([i for i, _ in out], pa.list_(pa.int32())), others], ["row", "lang", "ids", "others"])
-
-    def from_numbers(batches):
-        def parts():
-            for batch in batches:
-                for ids, found in zip(batch.column("ids"), batch.column("found").to_pylist()):
-                    ids = ids.values.to_numpy(zero_copy_only=False).astype(np.int32)
-                    at = np.flatnonzero(ids == -2)
-                    ids[at] = 0
-                    for x in found or []:
-                        ids[at[x["pos"]]] = x["id"]
-                    yield ids, True
-                    yield np.zeros(1, np.int32), False
-
-        yield from _counted(parts(), longest, burst, entries)
-
-    schema = "k1 long, k2 long, k3 long, n long"
-    if rest.isEmpty():
-        return written(docs.mapInArrow(from_texts, schema), "phrase-runs")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "lang", "text").mapInArrow(looked_up, "row long, lang string, ids array<int>, others array<string>")
-    rows = written(rows, "phrase-numbers")
-    places = rows.select("row", "lang", F.posexplode("others").alias("pos", "word")).join(rest, ["lang", "word"])
-    found = places.groupBy("row").agg(F.collect_list(F.struct("pos", "id")).alias("found"))
-    return written(rows.select("row", "ids").join(found, "row", "left").select("ids", "found").mapInArrow(from_numbers, schema), "phrase-runs")
+    def runs(self, longest: int, burst: int, entries: int, frequent: PairFilter | None = None) -> DataFrame:
+        """(k1, k2, k3, n): the sorted runs of all tasks, two word numbers in a key; without a filter pairs, in k1 alone."""
+        parts, keys = self.parts, KEYS if frequent else KEYS[:1]
+        shared = self.rows.sparkSession.sparkContext.broadcast(frequent)
+
+        def run(batches):
+            for batch in _counted(parts(batches), longest, shared.value, burst, entries):
+                yield batch.select([*keys, "n"])
+
+        return self.rows.mapInArrow(run, ", ".join(f"{k} long" for k in (*keys, "n")))
 
 
 def prefix_counts(runs: DataFrame, longest: int, least: int) -> DataFrame:
-    """(k1, k2, k3, a): all phrases of two to ``longest`` words that begin ``least`` or more windows, the missing words 0."""
+    """(k1, k2, k3, a): all phrases of three to ``longest`` words that begin ``least`` or more windows, the missing words 0."""
 
     def run(batches):
         for batch in batches:
@@ -261,8 +327,8 @@ def prefix_counts(runs: DataFrame, longest: int, least: int) -> DataFrame:
             if not len(n):
                 continue
             # the first and the last phrase of each length may go on in the neighbouring batches: they are handed on in any case
-            for size in range(2, longest + 1):
-                keys = [k1, (k2 >> 32 << 32 if size == 3 else k2) * (size > 2), (k3 >> 32 << 32 if size == 5 else k3) * (size > 4)]
+            for size in range(3, longest + 1):
+                keys = [k1, k2 >> 32 << 32 if size == 3 else k2, (k3 >> 32 << 32 if size == 5 else k3) * (size > 4)]
                 start = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
                 total = np.add.reduceat(n, start)
                 # a phrase of this size has a word at its last place
@@ -305,7 +371,12 @@ def collocations(
     frequent = counts.where("word IS NOT NULL").where(F.col("n") >= least)
     vocabulary = global_row_number(frequent, [F.col("n").desc(), F.col("lang"), F.col("word")], "id").select("lang", "word", "n", F.col("id").cast("int").alias("id"))
     vocabulary = written(vocabulary, "phrase-vocabulary")
-    found = prefix_counts(window_runs(docs, vocabulary, longest, most_words, burst, entries), longest, least)
+    corpus, none = Corpus(docs, vocabulary, most_words), F.lit(0).cast("long")
+    pairs = written(corpus.runs(2, burst, entries).groupBy("k1").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "phrase-pairs")
+    found = pairs.select("k1", none.alias("k2"), none.alias("k3"), "a")
+    if longest > 2:
+        runs = written(corpus.runs(longest, burst, entries, PairFilter.of(pairs)), "phrase-runs")
+        found = found.unionByName(prefix_counts(runs, longest, least))
     phrases = written(found.select(_numbers().alias("w"), "a"), "phrases")
 
     # one row per language
@@ -316,7 +387,7 @@ def collocations(
     kept = phrases.join(longer, "w", "left").where(f"most IS NULL OR 100 * most < {inside} * a").drop("most")
     kept = kept.withColumn("first", F.element_at("w", 1)).join(small(known), "first").drop("first")
 
-    parts = small(written(phrases.unionByName(vocabulary.select(F.array("id").alias("w"), F.col("n").alias("a"))), "phrase-parts"))
+    parts = small(written(phrases.unionByName(vocabulary.select(F.array("id").alias("w"), F.col("n").alias("a"))), "phrase-parts"), BROADCAST_PHRASES)
     cuts = kept.withColumn("k", F.explode(F.sequence(F.lit(1), F.size("w") - 1)))
     cuts = cuts.withColumn("left", F.slice("w", F.lit(1), F.col("k"))).withColumn("right", F.slice("w", F.col("k") + 1, F.size("w") - F.col("k")))
     cuts = cuts.join(parts.select(F.col("w").alias("left"), F.col("a").alias("l")), "left").join(parts.select(F.col("w").alias("right"), F.col("a").alias("r")), "right")
