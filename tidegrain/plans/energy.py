@@ -4,7 +4,7 @@ The raw documents are derived from the stored tables (clients from ``customer``,
 payloads from ``events``), one small document per source row, with the faults the cleaning must handle.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidegrain.functions import dates as D
@@ -84,6 +84,10 @@ def _condition(pos: int) -> Column:
 
 
 def raw_weather(t: Tables) -> DataFrame:
+    return weather_documents(t.raw("events"))
+
+
+def weather_documents(events: DataFrame) -> DataFrame:
     """One forecast document per event: three-hour steps, some values missing, some times repeated."""
     e = F.col("event_id")
     slot = F.date_trunc("hour", F.col("ts").cast("timestamp"))
@@ -108,7 +112,7 @@ def raw_weather(t: Tables) -> DataFrame:
     )
     entries = F.when(e % 5 == 0, F.concat(entries, F.array(entry(3, temp + F.lit(4.0), rain)))).otherwise(entries)
     client = _client_key(F.col("user_id"))
-    return t.raw("events").select(
+    return events.select(
         client.alias("client_id"), F.to_json(F.struct(entries.alias("list"))).alias("raw_data"),
         F.concat(F.lit("weather_"), client, F.lit("_"), e.cast("string"), F.lit(".json")).alias("_source_file"), F.col("ts").cast("timestamp").alias("_ingested_at_utc"),
     )
@@ -130,14 +134,26 @@ def raw_prices(t: Tables) -> DataFrame:
 
 # -- cleaned tables -------------------------------------------------------------------------------
 
-def silver_clients(raw: DataFrame) -> DataFrame:
+def faultless(df: DataFrame, faults: dict[str, Column], seen: Observation | None) -> DataFrame:
+    """Rows without any of the named faults; ``seen`` counts all rows and those dropped, by first fault, in the same pass."""
+    fault = F.coalesce(*(F.when(bad, F.lit(name)) for name, bad in faults.items()))
+    marked = df.withColumn("_fault", fault)
+    if seen is not None:
+        counts = [F.count_if(F.col("_fault") == name).alias(name) for name in faults]
+        marked = marked.observe(seen, F.count(F.lit(1)).alias("rows in"), *counts, F.count_if(F.col("_fault").isNull()).alias("valid"))
+    return marked.where("_fault IS NULL").drop("_fault")
+
+
+def silver_clients(raw: DataFrame, seen: Observation | None = None) -> DataFrame:
     """Typed, validated, deduplicated (newest ingestion) and imputed client records."""
     text = {c: F.when(~F.col(c).isin("None", "nan", "NaN", "null"), F.col(c)) for c in CLIENT_TEXTS}
     df = raw.withColumns({**{c: F.col(c).try_cast("double") for c in CLIENT_NUMBERS}, **text,
                           "_ingested_at_utc": F.try_to_timestamp("_ingested_at_utc")})
-    df = df.dropna(subset=["client_id", "name", "latitude", "longitude", "pv_peak_power_kw", "_ingested_at_utc"])
     df = df.withColumns({"latitude": half_even(F.col("latitude"), 6), "longitude": half_even(F.col("longitude"), 6), "name": F.trim(F.upper("name"))})
-    df = df.where("latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND pv_peak_power_kw > 0")
+    critical = ["client_id", "name", "latitude", "longitude", "pv_peak_power_kw", "_ingested_at_utc"]
+    missing = F.greatest(*(F.col(c).isNull() | (F.isnan(c) if c in CLIENT_NUMBERS else F.lit(False)) for c in critical))
+    df = faultless(df, {
+        "missing field": missing, "coordinates out of range": F.expr("NOT (latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180)"), "no power": F.expr("NOT pv_peak_power_kw > 0")}, seen)
     df = df.withColumns({
         "angle": default_out_of_range(F.col("angle"), 0, 90, 30.0), "aspect": default_out_of_range(F.col("aspect"), 1, 360, 180.0),
         "loss_pct": default_out_of_range(F.col("loss_pct"), 0, 90, 14.0), "soc_min_pct": default_out_of_range(F.col("soc_min_pct"), 0, 90, 20.0),
@@ -151,12 +167,12 @@ def silver_clients(raw: DataFrame) -> DataFrame:
     }).select(*CLIENT_COLUMNS, "_source_file", "_ingested_at_utc")
 
 
-def silver_prices(raw: DataFrame, lo: float = -100, hi: float = 2000) -> DataFrame:
+def silver_prices(raw: DataFrame, lo: float = -100, hi: float = 2000, seen: Observation | None = None) -> DataFrame:
     """Hourly prices: flatten, UTC, outliers out, newest ingestion per hour, linear fill, epoch key."""
     doc = raw.select("_source_file", "_ingested_at_utc", F.explode(F.from_json("raw_data", PRICE_SCHEMA)["included"]).alias("s"))
     rows = doc.select("_source_file", "_ingested_at_utc", F.col("s.type").alias("price_type"), F.explode("s.attributes.values").alias("v")).select(
         "price_type", F.try_to_timestamp(F.col("v.datetime")).alias("datetime_utc"), F.col("v.value").alias("price_euro_mwh"), "_source_file", "_ingested_at_utc")
-    rows = rows.where(F.col("datetime_utc").isNotNull() & (F.col("price_euro_mwh").isNull() | F.col("price_euro_mwh").between(lo, hi)))
+    rows = faultless(rows, {"no time": F.col("datetime_utc").isNull(), "outlier": F.coalesce(~F.col("price_euro_mwh").between(lo, hi), F.lit(False))}, seen)
     rows = first_per_key(rows, ["price_type", "datetime_utc"], [F.col("_ingested_at_utc").desc(), F.col("_source_file").desc()])
     filled = interpolate_positions(rows, ["price_type"], "datetime_utc", "price_euro_mwh", F.to_date("datetime_utc"))
     return filled.withColumns({"price_euro_mwh": half_even(F.col("price_euro_mwh"), 4), "unix_time": D.epoch(F.col("datetime_utc"))})

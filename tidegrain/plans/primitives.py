@@ -212,47 +212,54 @@ def text_prefix_scan(t: Tables) -> DataFrame:
     return RD.read_lines(t.spark, path, "user:").select(parts[1].cast("bigint").alias("conv_id"), parts[2].cast("bigint").alias("turn"))
 
 
-@job("ledger_cycle", """WITH f AS (SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS path, day(ts) AS d FROM events) SELECT path, CASE WHEN d % 4 = 0 THEN 'pending' WHEN d % 3 = 0 THEN 'error' ELSE 'success' END AS status, CASE WHEN d % 4 <> 0 AND d % 3 = 0 THEN 'empty document' END AS error FROM f""")
+@job("ledger_cycle", """WITH f AS (SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS path, day(ts) AS d FROM events) SELECT path, CASE WHEN d % 6 = 0 THEN 'error' ELSE 'success' END AS status, CASE WHEN d % 6 = 0 THEN 'empty document' END AS error, CASE WHEN d % 3 = 0 THEN 2 ELSE 1 END AS attempts FROM f""")
 def ledger_cycle(t: Tables) -> DataFrame:
-    """Ledger of landed files: new entries, one run over the actionable ones, state written back."""
+    """Ledger of landed files: new entries, a run over all of them, and one over what failed (documents of some days are empty once, of others always)."""
     files = t.raw("events").select(F.lit("events").alias("source"), F.to_date("ts").cast("string").alias("path")).distinct()
-    ledger = SK.ledger_add(files, "2024-02-01 00:00:00")
-    day = F.dayofmonth(F.col("path").cast("date"))
-    results = SK.ledger_actionable(ledger).where(day % 4 != 0).select("path", F.when(day % 3 == 0, "empty document").alias("error"))
-    return SK.ledger_update(ledger, results, "2024-02-01 01:00:00").select("path", "status", "error")
-
-
-@job("ledger_run", """WITH f AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS path, day(ts) AS d, CASE WHEN event_id % 50 = 3 THEN 'not a number' WHEN event_type IS NULL OR event_id % 70 = 5 THEN 'no type' WHEN day(ts) % 3 = 0 THEN 'closed day' END AS fault FROM events),
-g AS (SELECT path, d, count(*) AS n, count(CASE WHEN fault IS NULL THEN 1 END) AS good, count(CASE WHEN fault = 'not a number' THEN 1 END) AS bad_numbers, count(CASE WHEN fault = 'no type' THEN 1 END) AS no_type, count(CASE WHEN fault = 'closed day' THEN 1 END) AS closed FROM f GROUP BY 1, 2)
-SELECT path, CASE WHEN d % 4 = 0 THEN 'pending' WHEN good = 0 THEN 'error' ELSE 'success' END AS status, CASE WHEN d % 4 <> 0 AND good = 0 THEN 'no good rows' END AS error,
-CASE WHEN d % 4 = 0 THEN 0 ELSE good END AS cleaned, CASE WHEN d % 4 = 0 THEN 0 ELSE bad_numbers END AS bad_numbers, CASE WHEN d % 4 = 0 THEN 0 ELSE no_type END AS no_type, CASE WHEN d % 4 = 0 THEN 0 ELSE closed END AS closed FROM g""")
+    ledger, day = SK.ledger_add(files, "2024-02-01 00:00:00"), F.dayofmonth(F.col("path").cast("date"))
+    for hour, empty in ((1, day % 3 == 0), (2, day % 6 == 0)):
+        results = SK.ledger_actionable(ledger).select("path", F.when(empty, "empty document").alias("error"))
+        ledger = SK.ledger_update(ledger, results, f"2024-02-01 0{hour}:00:00")
+    return ledger.select("path", "status", "error", F.col("attempts").cast("bigint").alias("attempts"))
+
+
+@job("ledger_run", """WITH f AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS path, day(ts) AS d, CASE WHEN event_id % 50 = 3 THEN 'not a number' WHEN event_type IS NULL OR event_id % 70 = 5 THEN 'no type' END AS fault FROM events),
+g AS (SELECT path, d, count(CASE WHEN fault IS NULL THEN 1 END) AS good, count(CASE WHEN fault = 'not a number' THEN 1 END) AS bad_numbers, count(CASE WHEN fault = 'no type' THEN 1 END) AS no_type FROM f GROUP BY 1, 2),
+r AS (SELECT *, good = 0 OR d % 6 = 0 AS parked, CASE WHEN good = 0 OR d % 6 = 0 THEN 3 WHEN d % 6 = 3 THEN 2 ELSE 1 END AS attempts FROM g)
+SELECT path, CASE WHEN parked THEN 'parked' ELSE 'success' END AS status, CAST(attempts AS BIGINT) AS attempts, CASE WHEN parked THEN 'no good rows' END AS error, CASE WHEN parked THEN 0 ELSE good END AS cleaned,
+bad_numbers * attempts AS bad_numbers, no_type * attempts AS no_type, good * CASE d % 6 WHEN 0 THEN 3 WHEN 3 THEN 1 ELSE 0 END AS closed FROM r""")
 def ledger_run(t: Tables) -> DataFrame:
-    """Files landed, the actionable ones cleaned, and everything stored: cleaned rows, dead letters by reason, ledger before and after.
+    """Landed files cleaned in three runs with a stored ledger: new and failed files each time, until they succeed or are parked.
 
-    Files of every fourth day are left for a later run and stay pending. The counts come from the stored tables.
+    The first delivery of some days holds closed books, which no row passes; half of them are delivered again, mended, before the second
+    run, which takes the newest delivery of what failed. Cleaned rows and dead letters of every attempt are stored, and counted here.
     """
     spark, work, e = t.spark, work_dir(t.spark, "ledger"), F.col("event_id")
+    day = F.dayofmonth(F.col("path").cast("date"))
     rows = t.raw("events").select(
         F.to_date("ts").cast("string").alias("path"), "event_id", F.when(e % 70 != 5, F.col("event_type")).alias("kind"), F.when(e % 50 == 3, "n/a").otherwise(F.col("value").cast("string")).alias("value"))
-    rows.write.partitionBy("path").json(f"{work}/zone")
-    zone = spark.read.schema("event_id bigint, kind string, value string, path string").json(f"{work}/zone")
-    SK.ledger_add(zone.select(F.lit("events").alias("source"), "path").distinct(), "2024-02-01 00:00:00").write.parquet(f"{work}/ledger/run=0")
-    ledger = spark.read.schema(SK.LEDGER_SCHEMA).parquet(f"{work}/ledger/run=0")
-    day = F.dayofmonth(F.col("path").cast("date"))
-    todo = SK.ledger_actionable(ledger).where(day % 4 != 0).select("path")
-    fault = F.when(F.col("value").try_cast("double").isNull(), "not a number").when(F.col("kind").isNull(), "no type").when(day % 3 == 0, "closed day")
-    good, bad = SK.quarantine(zone.join(todo, "path", "left_semi"), fault)
-    good.write.parquet(f"{work}/cleaned")
-    bad.write.parquet(f"{work}/dead_letters")
-    cleaned, dead = spark.read.schema(good.schema).parquet(f"{work}/cleaned"), spark.read.schema(bad.schema).parquet(f"{work}/dead_letters")
+    deliveries = [rows.withColumn("closed", day % 3 == 0), rows.where(day % 6 == 3).withColumn("closed", F.lit(False)), None]
+    ledger = SK.FileLedger(spark, f"{work}/ledger", most_attempts=3)
+    for run, delivery in enumerate(deliveries, 1):
+        if delivery is not None:
+            delivery.withColumn("delivery", F.lit(run)).write.mode("append").partitionBy("delivery", "path").json(f"{work}/zone")
+        zone = spark.read.schema("event_id bigint, kind string, value string, closed boolean, delivery int, path string").json(f"{work}/zone")
+        ledger.add(zone.select(F.lit("events").alias("source"), "path"), f"2024-02-0{run} 00:00:00")
+        todo = ledger.actionable()
+        newest = zone.groupBy("path").agg(F.max("delivery").alias("delivery")).join(todo, "path", "left_semi")
+        fault = F.when(F.col("value").try_cast("double").isNull(), "not a number").when(F.col("kind").isNull(), "no type").when(F.col("closed"), "closed day")
+        good, bad = SK.quarantine(zone.join(newest, ["path", "delivery"], "left_semi"), fault)
+        good.write.parquet(f"{work}/cleaned/run={run}")
+        bad.write.parquet(f"{work}/dead_letters/run={run}")
+        counts = spark.read.schema(good.schema).parquet(f"{work}/cleaned/run={run}").groupBy("path").agg(F.count(F.lit(1)).alias("cleaned"))
+        ledger.finish(todo.join(counts, "path", "left").select("path", F.when(F.col("cleaned").isNull(), "no good rows").alias("error")), f"2024-02-0{run} 01:00:00")
+    cleaned, dead = spark.read.schema(good.schema).parquet(f"{work}/cleaned/run=*"), spark.read.schema(bad.schema).parquet(f"{work}/dead_letters/run=*")
     counts = cleaned.groupBy("path").agg(F.count(F.lit(1)).alias("cleaned"))
     reasons = {"bad_numbers": "not a number", "no_type": "no type", "closed": "closed day"}
     rejects = dead.groupBy("path").agg(*(F.count_if(F.col("_error") == text).alias(name) for name, text in reasons.items()))
-    results = todo.join(counts, "path", "left").select("path", F.when(F.col("cleaned").isNull(), "no good rows").alias("error"))
-    SK.ledger_update(ledger, results, "2024-02-01 01:00:00").write.parquet(f"{work}/ledger/run=1")
-    after = spark.read.schema(SK.LEDGER_SCHEMA).parquet(f"{work}/ledger/run=1")
     numbers = ["cleaned", *reasons]
-    return after.join(counts, "path", "left").join(rejects, "path", "left").select("path", "status", "error", *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in numbers))
+    return ledger.read().join(counts, "path", "left").join(rejects, "path", "left").select(
+        "path", "status", "attempts", "error", *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in numbers))
 
 
 @job("dead_letters", "SELECT CASE WHEN event_id % 50 = 3 THEN 'bad value' ELSE 'good' END AS kind, count(*) AS n FROM events GROUP BY 1")

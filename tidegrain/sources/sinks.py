@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-LEDGER_SCHEMA = "source string, path string, status string, error string, created_at timestamp, updated_at timestamp"
+LEDGER_SCHEMA = "source string, path string, status string, error string, attempts bigint, created_at timestamp, updated_at timestamp"
 AUDIT_SCHEMA = "pipeline_name string, status string, duration_seconds double, rows_affected bigint, error_message string, env string, executed_at timestamp"
 
 
@@ -57,24 +57,57 @@ def land_raw(df: DataFrame, path: str) -> None:
 def ledger_add(files: DataFrame, now: str) -> DataFrame:
     """Ledger rows for landed files (``source``, ``path``), to be done."""
     at = F.lit(now).cast("timestamp")
-    return files.select("source", "path", F.lit("pending").alias("status"), F.lit(None).cast("string").alias("error"), at.alias("created_at"), at.alias("updated_at"))
+    return files.select(
+        "source", "path", F.lit("pending").alias("status"), F.lit(None).cast("string").alias("error"), F.lit(0).cast("bigint").alias("attempts"), at.alias("created_at"), at.alias("updated_at"))
 
 
 def ledger_actionable(ledger: DataFrame) -> DataFrame:
-    """Files to process: new ones and failed ones (retry)."""
+    """Files to process: new ones and failed ones (retry); parked files wait for somebody to look at them."""
     return ledger.where(F.col("status").isin("pending", "error"))
 
 
-def ledger_update(ledger: DataFrame, results: DataFrame, now: str) -> DataFrame:
-    """Ledger after a run; ``results`` has ``path`` and ``error`` (NULL on success)."""
+def ledger_update(ledger: DataFrame, results: DataFrame, now: str, most_attempts: int | None = None) -> DataFrame:
+    """Ledger after a run; ``results`` has ``path`` and ``error`` (NULL on success). A file that fails for the last time is parked."""
     r = results.select("path", F.col("error").alias("_err"), F.lit(True).alias("_done"))
     done = F.coalesce(F.col("_done"), F.lit(False))
+    attempts = F.col("attempts") + F.when(done, 1).otherwise(0)
+    failed = F.lit("error") if most_attempts is None else F.when(attempts >= most_attempts, "parked").otherwise("error")
     return ledger.join(r, "path", "left").select(
-        "source", "path", F.when(done, F.when(F.col("_err").isNull(), "success").otherwise("error")).otherwise(F.col("status")).alias("status"),
-        F.when(done, F.col("_err")).otherwise(F.col("error")).alias("error"), "created_at",
+        "source", "path", F.when(done, F.when(F.col("_err").isNull(), "success").otherwise(failed)).otherwise(F.col("status")).alias("status"),
+        F.when(done, F.col("_err")).otherwise(F.col("error")).alias("error"), attempts.alias("attempts"), "created_at",
         F.when(done, F.lit(now).cast("timestamp")).otherwise(F.col("updated_at")).alias("updated_at"))
 
 
+class FileLedger:
+    """Ledger kept over runs: every step writes the whole state as a new version, and a restart goes on from the last one."""
+
+    def __init__(self, spark: SparkSession, path: str, most_attempts: int = 3):
+        from tidegrain.streaming.jobs import read_or_empty
+
+        self.spark, self.path, self.most_attempts = spark, path, most_attempts
+        self.version = read_or_empty(spark, path, f"{LEDGER_SCHEMA}, version int").agg(F.max("version")).first()[0] or 0
+
+    def read(self) -> DataFrame:
+        if not self.version:
+            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.path}/version={self.version}")
+
+    def _write(self, rows: DataFrame) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/version={self.version + 1}")
+        self.version += 1
+
+    def add(self, files: DataFrame, now: str) -> None:
+        """Files (``source``, ``path``) the ledger does not know yet, to be done."""
+        known = self.read()
+        self._write(known.unionByName(ledger_add(files.distinct().join(known.select("path"), "path", "left_anti"), now)))
+
+    def actionable(self) -> DataFrame:
+        return ledger_actionable(self.read()).select("path")
+
+    def finish(self, results: DataFrame, now: str) -> None:
+        self._write(ledger_update(self.read(), results, now, self.most_attempts))
+
+
 def quarantine(df: DataFrame, fault: Column) -> tuple[DataFrame, DataFrame]:
     """Split rows into good ones and dead letters that carry the text of their fault (NULL = good)."""
     marked = df.withColumn("_error", fault)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrain.operators.ranking import first_per_key
+from tidegrain.operators.tables import upsert
 from tidegrain.session import shared_dir
 
 
@@ -29,12 +30,39 @@ def stream_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return df.withColumns({f.name: F.col(f.name).cast("timestamp") for f in schema if f.dataType.typeName() == "timestamp_ntz"})
 
 
-def shuffled_stream(spark: SparkSession, root: str, name: str, key: str, files: int, work: str) -> DataFrame:
-    """Stored table landed in ``files`` files by a hash of ``key`` and read one file a batch, so times arrive out of order."""
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Stored Parquet rows, or none where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def stored_events(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Stored table with zone-less times as timestamps."""
     rows = spark.read.parquet(f"{root}/{name}.parquet")
-    rows = rows.withColumns({f.name: F.col(f.name).cast("timestamp") for f in rows.schema if f.dataType.typeName() == "timestamp_ntz"})
-    rows.withColumn("_file", F.pmod(F.xxhash64(key), F.lit(files))).repartition(files, "_file").drop("_file").write.parquet(f"{work}/in")
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
+    return rows.withColumns({f.name: F.col(f.name).cast("timestamp") for f in rows.schema if f.dataType.typeName() == "timestamp_ntz"})
+
+
+def shuffled_stream(spark: SparkSession, root: str, name: str, key: str, batches: int, work: str) -> DataFrame:
+    """Stored table landed in some ``batches`` groups of files by a hash of ``key`` and read a group a batch, so times arrive out of order.
+
+    A group is spread over as many files as a shuffle has partitions, so that no batch hangs on a few tasks.
+    """
+    rows = stored_events(spark, root, name)
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    marked = rows.withColumn("batch", F.pmod(F.xxhash64(key), F.lit(batches))).withColumn("_salt", F.pmod(F.xxhash64(key, F.lit("salt")), F.lit(spread)))
+    marked.repartition(batches * spread, "batch", "_salt").drop("_salt").write.partitionBy("batch").parquet(f"{work}/in")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", spread).parquet(f"{work}/in/batch=*")
+
+
+def run_deliveries(deliveries: Sequence[DataFrame], out: str, step: Callable[[DataFrame, int], None]) -> None:
+    """Land one delivery after the other and run the stream over what is new: a run, and so a batch, for each that has rows."""
+    for i, rows in enumerate(deliveries):
+        rows.write.mode("overwrite").parquet(f"{out}/in/delivery={i}")
+        run_batches(rows.sparkSession.readStream.schema(rows.schema).parquet(f"{out}/in/delivery=*"), out, step)
 
 
 def stream_landing(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -75,12 +103,7 @@ class PartitionedTable:
         self.partition, self.partition_of = partition
 
     def read(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self.schema).parquet(self.path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], self.schema)  # no table before the first batch
+        return read_or_empty(self.spark, self.path, self.schema)  # no table before the first batch
 
     def merge(self, batch: DataFrame, batch_id: int, newest: Sequence[str], combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> None:
         """Bring in the batch; of a key's stored and incoming rows the newest stays, unless ``combine`` says otherwise."""
@@ -98,6 +121,40 @@ class PartitionedTable:
             "partitionOverwriteMode", "dynamic").partitionBy(self.partition).parquet(self.path)
 
 
+    def merge_changed(self, batch: DataFrame, batch_id: int, newest: Sequence[str]) -> DataFrame:
+        """Bring in the batch and return the rows it changed: those of the table that now hold what the batch brought.
+
+        A repeated batch returns the same rows, so whatever is computed from them can be repeated too.
+        """
+        self.merge(batch, batch_id, newest)
+        brought = self.spark.read.parquet(f"{self.path}_staging/{batch_id}/in").select(self.partition, *self.keys, *newest)
+        return self.read().join(brought, [self.partition, *self.keys, *newest], "left_semi")
+
+    def replace(self, rows: DataFrame, batch_id: int) -> None:
+        """Put ``rows`` (one per key) in place of the stored rows of their keys."""
+        self.merge(rows, batch_id, self.keys, lambda current, new: upsert(current, new, self.keys))
+
+
+def on_time_load(spark: SparkSession, t: str, lateness: str, table: PartitionedTable, newest: Sequence[str], out: str) -> Callable[[DataFrame, int], None]:
+    """Step that loads the rows of a batch which are no more than ``lateness`` behind the newest time of all batches before.
+
+    Later rows are written to ``late``, and each batch's newest time and counts to ``marks``: on time and late rows are all rows. A
+    repeated batch looks at the marks of earlier batches only, so it decides alike.
+    """
+    marks = "batch int, mark timestamp, rows bigint, late bigint"
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        before = read_or_empty(spark, f"{out}/marks", marks).where(F.col("batch") < batch_id)
+        limit = before.agg(F.max("mark")).scalar() - F.expr(f"INTERVAL {lateness}")
+        late = F.coalesce(F.col(t) < limit, F.lit(False))  # the first batch is on time
+        batch.where(late).write.mode("overwrite").parquet(f"{out}/late/batch={batch_id}")
+        table.merge(batch.where(~late), batch_id, newest)
+        counts = batch.agg(F.max(t).alias("mark"), F.count(F.lit(1)).alias("rows"), F.count_if(late).alias("late"))
+        counts.write.mode("overwrite").parquet(f"{out}/marks/batch={batch_id}")
+
+    return step
+
+
 def first_breach(events: DataFrame, key: str, t: str, breach: Column, out: str) -> DataFrame:
     """Readings of each key up to and including its first breach, in whatever order they arrive.
 
