@@ -84,6 +84,54 @@ def hourly_grid(df: DataFrame, keys: Sequence[str], t: str, numbers: Sequence[st
     return out.select(*cols, *[c for c in df.columns if c not in {*keys, t, *numbers, *labels}])
 
 
+def to_full_hours(df: DataFrame, keys: Sequence[str], t: str, numbers: Sequence[str], labels: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
+    """Points at any minute as one point per key and full hour, for ``hourly_grid``.
+
+    Points of an hour collide: numbers take the mean of the known ones (summed as decimals, so in any order the same), labels the last
+    known one by time, and by ``newest`` on a tie. Partial aggregation, so a series of many points is not gathered in one task.
+    """
+    order = F.struct(t, *newest)
+    slot = F.date_trunc("hour", t).cast(df.schema[t].dataType)
+    means = [(F.sum(F.col(c).cast("decimal(28,6)")).cast("double") / F.nullif(F.count(c), F.lit(0))).alias(c) for c in numbers]
+    lasts = [F.max(F.when(F.col(c).isNotNull(), F.struct(order.alias("o"), F.col(c).alias("v"))))["v"].alias(c) for c in labels]
+    return df.groupBy(*keys, slot.alias("_slot")).agg(*means, *lasts).withColumnRenamed("_slot", t)
+
+
+def hourly_blocks(df: DataFrame, keys: Sequence[str], t: str, numbers: Sequence[str], labels: Sequence[str], block: Column) -> DataFrame:
+    """``hourly_grid`` of long series: windows see one block of a series (for example a day), and the known values around it are carried over.
+
+    ``df`` has one row per key and full hour; ``block`` is monotone in ``t``. A block's points get the last known point of each column before
+    it, the first one behind it and the next point's time from summaries of one row per block, as documents of a series do not end its values.
+    """
+    rows = df.withColumn("_block", block)
+
+    def point(c: str) -> Column:
+        v = F.col(c).cast("double") if c in numbers else F.col(c)
+        return F.when(F.col(c).isNotNull(), F.struct(F.col(t).alias("t"), v.alias("v")))
+
+    ends = [a for c in (*numbers, *labels) for a in (F.max(point(c)).alias(f"_{c}_last"), F.min(point(c)).alias(f"_{c}_first"))]
+    sums = rows.groupBy(*keys, "_block").agg(F.min(t).alias("_start"), *ends)
+    order = W.partitionBy(*keys).orderBy("_block")
+    before, after = order.rowsBetween(W.unboundedPreceding, -1), order.rowsBetween(1, W.unboundedFollowing)
+    around = {"_following": F.lead("_start").over(order)}
+    for c in (*numbers, *labels):
+        around[f"_{c}_from"] = F.last(f"_{c}_last", ignorenulls=True).over(before)
+        around[f"_{c}_to"] = F.first(f"_{c}_first", ignorenulls=True).over(after)
+    sums = sums.withColumns(around).select(*keys, "_block", *around)
+    inner = W.partitionBy(*keys, "_block").orderBy(t)
+    upto, behind = inner.rowsBetween(W.unboundedPreceding, 0), inner.rowsBetween(1, W.unboundedFollowing)
+    rows = rows.join(sums, [*keys, "_block"])
+    found = {"_next": F.coalesce(F.lead(t).over(inner), "_following")}
+    for c in (*numbers, *labels):
+        found[f"_{c}_a"] = F.coalesce(F.last(point(c), ignorenulls=True).over(upto), f"_{c}_from")
+        found[f"_{c}_b"] = F.coalesce(F.first(point(c), ignorenulls=True).over(behind), f"_{c}_to")
+    rows = rows.withColumns(found)
+    last = F.coalesce(F.col("_next") - F.expr("INTERVAL 1 HOUR"), F.col(t))
+    rows = rows.withColumn("_slot", F.explode(F.sequence(F.col(t), last, F.expr("INTERVAL 1 HOUR"))))
+    filled = [_line(F.col(f"_{c}_a"), F.col(f"_{c}_b"), F.col("_slot")).alias(c) for c in numbers]
+    return rows.select(*keys, F.col("_slot").alias(t), *filled, *[F.col(f"_{c}_a.v").alias(c) for c in labels])
+
+
 def _line(a: Column, b: Column, slot: Column) -> Column:
     def hours(x: Column) -> Column:
         return F.unix_timestamp(x.cast("timestamp")) / F.lit(3600.0)

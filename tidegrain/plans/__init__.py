@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("store_views", "store_basics", "store_cleaning", "store_problems", "survey", "energy_views", "energy", "energy_reports", "quality", "lab", "primitives", "streams", "incremental")
+MODULES = ("store_views", "store_basics", "store_cleaning", "store_problems", "survey", "energy_views", "energy", "energy_reports", "quality", "lab", "primitives", "streams", "incremental", "warehouse")
 
 
 def all_jobs():

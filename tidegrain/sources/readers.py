@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 SENSOR_SCHEMA = "sensor_id string, timestamp string, temperature double, status string"
 TRACK_CSV_SCHEMA = "name string, artist string, album string, count bigint, rating bigint, length bigint, genre string"
+#: Columns of the production files; Value is text with thousands separators, and marks such as (D) where it is withheld.
 PRODUCTION_SCHEMA = "Year int, Period string, Geo_Level string, State_ANSI int, Commodity_ID int, Domain string, Value string"
 
 
@@ -52,9 +53,9 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
         F.col("value").alias("raw_data"), F.col("_metadata.file_path").alias("_source_file"), F.current_timestamp().alias("_ingested_at_utc"))
 
 
-def with_provenance(df: DataFrame) -> DataFrame:
-    """Add file name and reading time to the rows of a file scan."""
-    return df.select("*", F.col("_metadata.file_name").alias("_source_file"), F.current_timestamp().alias("_ingested_at_utc"))
+def with_provenance(df: DataFrame, file: str = "file_name") -> DataFrame:
+    """Add file name (or ``file_path``) and reading time to the rows of a file scan."""
+    return df.select("*", F.col(f"_metadata.{file}").alias("_source_file"), F.current_timestamp().alias("_ingested_at_utc"))
 
 
 def read_lines(spark: SparkSession, path: str, prefix: str) -> DataFrame:
