@@ -11,8 +11,6 @@ from tidegrain.plans.registry import job
 from tidegrain.sources.tables import Tables
 from tidegrain.streaming import jobs as S
 
-SLOT_DATE = ("slot_date", F.to_date(F.timestamp_seconds("unix_time")))
-
 
 @job("stream_window_recompute", """SELECT c.client_id, c.unix_time, c.pv_power_gen_kw, c.power_con_kw, p.price FROM v_calc c LEFT JOIN (
 SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS unix_time, max_by(CAST(value AS DOUBLE), ts) AS price FROM events WHERE event_type = 'click' GROUP BY 1) p ON p.unix_time = c.unix_time WHERE c.unix_time >= 1705363200""")
@@ -28,7 +26,8 @@ def stream_window_recompute(t: Tables, now: str = E.NOW, deliveries: int = 3) ->
     keys = ["client_id", "unix_time"]
 
     def table(name: str, by: list[str], columns: str) -> S.PartitionedTable:
-        return S.PartitionedTable(t.spark, f"{work}/{name}", by, SLOT_DATE, f"{columns}, slot_date date")
+        day = ("slot_date", F.to_date(F.timestamp_seconds("unix_time")))
+        return S.PartitionedTable(t.spark, f"{work}/{name}", by, day, f"{columns}, slot_date date")
 
     weather = table("weather", keys, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in form))
     prices = table("prices", ["unix_time"], "unix_time bigint, price double, ts timestamp")
