@@ -7,7 +7,7 @@ from tidegrain.plans.energy_reports import on_day, star
 from tidegrain.sources.tables import Tables
 
 FOLDER = "/root/testdata/sf0.001"
-BATCH = [n for n in entry.queries() if not n.startswith("stream")]
+BATCH = [n for n in entry.all_jobs() if not n.startswith("stream")]
 
 
 def plan(df) -> str:
@@ -40,9 +40,9 @@ def test_reports_read_one_partition(spark):
 def test_no_python_and_no_nested_loop(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in BATCH[::15]:
+        for name in BATCH[::6]:
             p = plan(entry.queries()[name](spark, FOLDER))
-            for bad in ("EvalPython", "FlatMapGroups", "MapInPandas", "CartesianProduct", "BroadcastNestedLoop"):
+            for bad in ("EvalPython", "FlatMapGroups", "MapInPandas", "MapInArrow", "CartesianProduct", "BroadcastNestedLoop"):
                 assert bad not in p, (name, bad)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
