@@ -12,7 +12,8 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 SAMPLE = """revenue_series rfm basket_pairs buying_streaks covers_all undecided_taste running_spend slowdown team_sales best_artist_country top_artists
 market_segments top5_share inactive_in_year clean_pipeline states_or_zero top_terms silver_clients silver_prices pv_yield fact_energy run_summary daily_kpis row_rules
 roster track_library client_history""".split()
-NAMES = [n for n in entry.queries() if n in entry.oracle_sql() and (os.environ.get("TIDEGRAIN_ALL") == "1" or n in SAMPLE)]
+SQL = entry.oracle_sql()
+NAMES = [n for n in entry.queries() if n in SQL and (os.environ.get("TIDEGRAIN_ALL") == "1" or n in SAMPLE)]
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,7 @@ def _norm(rows):
 
 
 def test_every_job_has_a_statement():
-    assert set(entry.all_jobs()) <= set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(entry.all_jobs()) <= set(SQL) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -36,7 +37,7 @@ def test_equals_sql(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
     cols = sorted(df.columns)
     mine = _norm(tuple(r[c] for c in cols) for r in df.collect())
-    cur = duck.execute(entry.oracle_sql()[name])
+    cur = duck.execute(SQL[name])
     order = [[d[0] for d in cur.description].index(c) for c in cols]
     assert mine == _norm(tuple(r[i] for i in order) for r in cur.fetchall())
 
