@@ -12,7 +12,7 @@ from tidegrain.llm import token_files
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["", " ", "  ", "\n", "a", " a", "a ", "a  b", "a \n b", "a\n b", "a\n\nb c", "it's we'll  'd", "été naïve", "x y z", "a  b", "a\x1c b", "a \x1fb", "1 22 333!!", "<|endoftext|>",
-       "a <|endoftext|> b", "日本 語", "😀 😀", "tab\tx y", "end. ", " \n ", "a\x85 b", "​ a", "x" * 300 + " y", "don't won 't"]
+       "a <|endoftext|> b", "日本 語", "😀 😀", "tab\tx y", "end. ", " \n ", "a\x85 b", "​ a", "x" * 300 + " y", "don't won 't", "Hest*** the&&& l,'s x-'ll", "a_b-c\"d"]
 
 
 def fixture():
@@ -38,7 +38,7 @@ def test_cutting_at_spaces_changes_no_ids():
     encode, tokenizer = token_files.Encoder(PATH, 500), Tokenizer.from_file(PATH)
     rng = random.Random(2)
     for _ in range(2):
-        texts = ODD + ["".join(rng.choices([" ", " ", "\n", "a", "'s", "B", "9", "!", ".", "é", "²", "ª", "\t", " ", "日", "x" * 70], k=30)) for _ in range(2000)]
+        texts = ODD + ["".join(rng.choices([" ", " ", "\n", "a", "'s", "B", "9", "!", ".", "é", "²", "ª", "\t", " ", "日", "x" * 70, "&&", "-", "'", "n'", "\"", "_", "ß,%"], k=30)) for _ in range(2000)]
         for t in texts:
             assert list(struct.unpack(f"<{len(encode(t)) // 4}i", encode(t))) == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 

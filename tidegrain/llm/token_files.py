@@ -45,7 +45,8 @@ class Encoder:
     """
 
     CUT = re.compile(r"(?<=\S)(?= \S)")
-    TAIL, LONGEST = ".,;:!?", 64
+    #: Punctuation that is one piece behind letters, however much of it there is; an apostrophe may begin a piece of its own.
+    TAIL, LONGEST = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", 64
 
     class Kept(dict):
         """Ids of parts as little-endian bytes; ``spaced``: with a space before them, None where the text must not be cut at their ends."""
@@ -68,7 +69,10 @@ class Encoder:
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.bpe, self.alphabet = self.tokenizer.model.tokenize, byte_alphabet()
+        self.alphabet = byte_alphabet()
+        model = self.tokenizer.model
+        model._resize_cache(0)  # its words would be kept twice
+        self.bpe, self.blank = model.tokenize, chr(self.alphabet[0x20])
         self.line = self.direct("\n")
         self.whole, self.spaced = self.Kept(self, False), self.Kept(self, True)
 
@@ -77,9 +81,9 @@ class Encoder:
 
     def part(self, part: str, spaced: bool) -> bytes | None:
         """Ids of a part, with a space before it if ``spaced``; None if a text must not be cut at its ends."""
-        space = " " if spaced else ""
         if part.isalpha():
-            return array("i", [t.id for t in self.bpe((space + part).encode().decode("latin-1").translate(self.alphabet))]).tobytes()
+            letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
+            return array("i", [t.id for t in self.bpe(self.blank + letters if spaced else letters)]).tobytes()
         if spaced and (not part or part[0].isspace() or part[-1].isspace()):
             return None
         if "\n" in part:  # a single line break between other characters is a piece of its own
@@ -89,7 +93,7 @@ class Encoder:
         stem = part.rstrip(self.TAIL)
         if stem != part and stem.isalpha():
             return (self.spaced if spaced else self.whole)[stem] + self.whole[part[len(stem):]]
-        return self.direct(space + part)
+        return self.direct(" " + part if spaced else part)
 
     def __call__(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit integers."""
@@ -97,9 +101,10 @@ class Encoder:
             return self.direct(text)
         first, *rest = text.split(" ")
         if first and rest and not first[-1].isspace():
-            ids = [self.whole[first], *map(self.spaced.__getitem__, rest)]
-            if None not in ids:
-                return b"".join(ids)
+            try:
+                return b"".join([self.whole[first], *map(self.spaced.__getitem__, rest)])
+            except TypeError:  # a None: white space other than single spaces
+                pass
         return b"".join(map(self.whole.__getitem__, self.CUT.split(text))) if text else b""
 
 
