@@ -46,6 +46,12 @@ def test_global_number_and_tiles(spark):
     tiles = {r["id"]: r["q"] for r in R.global_ntile(df, 4, order, "q").collect()}
     sizes = [26, 25, 25, 25]
     assert [tiles[i] for i in ranked] == [q + 1 for q, s in enumerate(sizes) for _ in range(s)]
+    by_cuts = {r["id"]: r["q"] for r in R.with_ntile(df, 4, [-F.col("v"), F.col("id")], "q").collect()}
+    assert by_cuts == tiles
+    for n in range(7):
+        small = spark.createDataFrame([(None if i == 1 else i, i) for i in range(n)], "v int, id int")
+        want = {r["id"]: r["q"] for r in R.global_ntile(small, 3, [F.col("v"), F.col("id")], "q").collect()}
+        assert {r["id"]: r["q"] for r in R.with_ntile(small, 3, [F.col("v"), F.col("id")], "q").collect()} == want
     few = {r["id"]: r["q"] for r in R.global_ntile(spark.createDataFrame([(1, 1), (2, 2)], "v int, id int"), 4, [F.col("id")], "q").collect()}
     assert few == {1: 1, 2: 2}
 
@@ -71,6 +77,7 @@ def test_division(spark, rows):
     df = spark.createDataFrame([("all", 1), ("all", 2), ("all", 2), ("some", 1), ("other", 9)], "k string, i int")
     assert rows(J.divide(df, "k", "i", spark.createDataFrame([(1,), (2,), (None,)], "i int"))) == [("all",)]
     assert len(rows(J.divide(df, "k", "i", spark.createDataFrame([], "i int")))) == 3
+    assert rows(J.divide(df.union(df), "k", "i", spark.createDataFrame([(1,), (2,)], "i int"), n=F.count("i"))) == [("all", 2 * df.where("k = 'all'").count())]
 
 
 def test_closure_and_cycle(spark, rows):

@@ -11,17 +11,17 @@ from pyspark.sql import functions as F
 from tidegrain.session import shared_dir
 
 
-def divide(df: DataFrame, key: str, item: str, universe: DataFrame) -> DataFrame:
-    """Keys related to **every** item of ``universe`` (relational division).
+def divide(df: DataFrame, key: str, item: str, universe: DataFrame, **stats: Column) -> DataFrame:
+    """Keys related to **every** item of ``universe`` (relational division), with aggregates over all rows of a key.
 
-    ``df`` holds (key, item) pairs; the pairs are reduced to distinct ones before counting.
+    ``df`` holds (key, item) pairs; repeated ones count once, and are combined in the map tasks. ``stats`` come from the same pass.
     With an empty universe every key of ``df`` qualifies.
     """
     wanted = universe.select(item).where(F.col(item).isNotNull()).distinct()
     size = wanted.agg(F.count(F.lit(1))).scalar()
-    pairs = df.select(key, item).distinct()
-    hits = pairs.join(wanted.withColumn("_hit", F.lit(1)), item, "left").groupBy(key).agg(F.count("_hit").alias("_n"))
-    return hits.where(F.col("_n") == size).select(key)
+    marked = df.join(wanted.withColumn("_hit", F.lit(True)), item, "left")
+    hits = marked.groupBy(key).agg(F.count_distinct(F.when(F.col("_hit"), F.col(item))).alias("_n"), *[e.alias(n) for n, e in stats.items()])
+    return hits.where(F.col("_n") == size).drop("_n")
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:

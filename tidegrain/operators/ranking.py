@@ -100,6 +100,24 @@ def global_ntile(df: DataFrame, n: int, order: Sequence[Column], name: str) -> D
     )
 
 
+def with_ntile(df: DataFrame, n: int, rising: Sequence[Column], name: str) -> DataFrame:
+    """``NTILE(n) OVER (ORDER BY rising)`` without moving the rows: each is compared with the keys that begin the tiles.
+
+    ``rising`` are expressions in ascending order, nulls first, that together are unique. Only they are sorted and numbered; the n - 1
+    keys at the starts of tiles 2 to n are the only rows that come back, as one array. ``df`` is read twice, so give it written or cheap.
+    """
+    keys = df.select(*[e.alias(f"_o{i}") for i, e in enumerate(rising)])
+    names = keys.columns
+    ranked = global_row_number(keys, [F.col(c).asc_nulls_first() for c in names], "_rn")
+    total = ranked.agg(F.max("_rn").alias("t")).scalar()
+    sized = ranked.withColumn("_total", total)
+    starts = [F.expr(f"{i} * (_total div {n}) + least({i}, _total % {n}) + 1") for i in range(1, n)]
+    cuts = sized.where(F.col("_rn").isin(*starts)).agg(F.collect_list(F.struct(*names)).alias("cuts")).scalar()
+    key = F.struct(*[e.alias(c) for e, c in zip(rising, names)])
+    passed = F.size(F.filter(F.col("_cuts"), lambda cut: cut <= F.col("_key")))
+    return df.withColumns({"_cuts": cuts, "_key": key}).withColumn(name, (passed + 1).cast("bigint")).drop("_cuts", "_key")
+
+
 def running_total(df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[Column], value: str, name: str) -> DataFrame:
     """Running sum per key with the rows of a key split into ordered blocks (for example days).
 

@@ -195,6 +195,8 @@ def silver_weather(raw: DataFrame) -> DataFrame:
         F.col("f.pop").alias("rain_prob_norm"), F.col("f.wind.speed").alias("wind_speed_mps"),
         w["id"].alias("weather_id"), w["main"].alias("weather_main"), w["description"].alias("weather_description"), F.col("f.sys.pod").alias("pod"),
     ).where("client_id IS NOT NULL AND forecast_time_utc IS NOT NULL")
+    # one shuffle by document serves both windows: repeated times, and the grid
+    rows = rows.repartition("client_id", "_source_file")
     rows = first_per_key(rows, ["client_id", "_source_file", "forecast_time_utc"], [F.col("pos").desc()]).drop("pos")
     grid = hourly_grid(rows, ["client_id", "_source_file"], "forecast_time_utc", WEATHER_NUMBERS, WEATHER_LABELS)
     grid = grid.withColumns({**{c: half_even(F.col(c), 3) for c in WEATHER_NUMBERS}, "unix_time": D.epoch(F.col("forecast_time_utc")),

@@ -107,9 +107,8 @@ def covers_all(t: Tables) -> DataFrame:
     """Customers who bought every format (relational division over all purchases)."""
     rows = t.lines.select("invoice_id", "track_id", "line_total").join(t.tracks.select("track_id", "media_type"), "track_id")
     pairs = _sold(t, rows).groupBy("customer_id", "media_type").agg(F.sum("line_total").alias("s"))
-    all_of = J.divide(pairs, "customer_id", "media_type", t.tracks)
-    totals = pairs.groupBy("customer_id").agg(F.count("media_type").alias("distinct_formats"), dbl(F.sum("s")).alias("total_spent"))
-    return totals.join(all_of, "customer_id", "left_semi").join(_names(t), "customer_id").select(
+    all_of = J.divide(pairs, "customer_id", "media_type", t.tracks, distinct_formats=F.count("media_type"), total_spent=dbl(F.sum("s")))
+    return all_of.join(_names(t), "customer_id").select(
         "customer_id", "customer", "country", "distinct_formats", "total_spent"
     ).orderBy(F.col("total_spent").desc())
 
@@ -174,7 +173,7 @@ SELECT q.customer_id, c.first_name || ' ' || c.last_name AS customer, days AS da
 CASE WHEN rq = 4 AND fq = 4 AND mq = 4 THEN 'Campeón' WHEN rq = 1 AND fq >= 3 AND mq >= 3 THEN 'En riesgo' WHEN rq = 4 AND fq <= 2 THEN 'Nuevo prometedor' ELSE 'Otro' END AS segment
 FROM q JOIN v_customer c ON c.customer_id = q.customer_id""".replace("fq AS f, mq AS m", "fq AS f_tile, mq AS m_tile").replace("rq AS r,", "rq AS r_tile,"))
 def rfm(t: Tables) -> DataFrame:
-    """Recency, frequency, money quartiles; the totals are computed once, each tile from a range-partitioned sort of (value, id)."""
+    """Recency, frequency, money quartiles; the totals are computed once, and a tile is told by the three cut points of its measure."""
     shared_dir(t.spark)
     per_inv = t.lines.groupBy("invoice_id").agg(F.sum("line_total").alias("s"))
     per_cust = per_inv.join(t.invoices.select("invoice_id", "customer_id", "invoice_date"), "invoice_id").groupBy("customer_id").agg(
@@ -182,10 +181,8 @@ def rfm(t: Tables) -> DataFrame:
     )
     newest = t.invoices.agg(F.max("invoice_date")).scalar()
     base = per_cust.withColumn("days_since", F.floor(D.day_gap(newest, F.col("last"))).cast("bigint")).drop("last").checkpoint()
-    cid = F.col("customer_id")
-    for value, order, tile in (("days_since", F.col("days_since").desc(), "r_tile"), ("frequency", F.col("frequency").asc(), "f_tile"), ("s", F.col("s").asc(), "m_tile")):
-        tiles = R.global_ntile(base.select("customer_id", value), 4, [order, cid], tile)
-        base = base.join(tiles.select("customer_id", tile), "customer_id")
+    for rising, tile in ((-F.col("days_since"), "r_tile"), (F.col("frequency"), "f_tile"), (F.col("s"), "m_tile")):
+        base = R.with_ntile(base, 4, [rising, F.col("customer_id")], tile)
     r, f, m = F.col("r_tile"), F.col("f_tile"), F.col("m_tile")
     segment = (
         F.when((r == 4) & (f == 4) & (m == 4), "Campeón").when((r == 1) & (f >= 3) & (m >= 3), "En riesgo")
