@@ -32,6 +32,17 @@ def test_rank_filters_are_limited_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
+@pytest.mark.parametrize("name", ["vs_month_mean", "vs_year_month_mean", "price_vs_genre"])
+def test_detail_rows_are_not_shuffled_for_a_few_groups(spark, name):
+    p = plan(entry.queries()[name](spark, FOLDER))
+    assert "BroadcastHashJoin" in p and "hashpartitioning" not in p
+
+
+def test_top_ranks_meet_the_table_by_value(spark):
+    p = plan(entry.queries()["staff_rank"](spark, FOLDER))
+    assert "TakeOrderedAndProject(limit=3" in p
+
+
 def test_reports_read_one_partition(spark):
     p = plan(star(Tables(spark, FOLDER), on_day("2024-01-17")))
     assert "PartitionFilters: [isnotnull(slot_date" in p

@@ -73,12 +73,20 @@ def test_ties_kept_or_not(spark, rows):
     assert rows(R.top_of_group(df, ["g"], "v"), "id") == [(1,), (2,), (4,)]
     assert rows(R.first_per_key(df, ["g"], [F.col("v").desc(), F.col("id")]), "id") == [(1,), (4,)]
     assert rows(R.keep_top_ranked(df, "v", 2, "r"), "id", "r") == [(1, 1), (2, 1)]
+    assert rows(R.keep_top_ranked(df, "v", 3, "r"), "id", "r") == [(1, 1), (2, 1), (3, 3)]
     assert rows(R.dense_top(df, ["g"], "v", 1, "r"), "id", "r") == [(1, 1), (2, 1), (4, 1)]
 
 
+def test_top_ranked_with_nulls_and_no_rows(spark, rows):
+    df = spark.createDataFrame([(1, None), (2, 7), (3, None)], "id int, v int")
+    assert rows(R.keep_top_ranked(df, "v", 3, "r"), "id", "r") == [(2, 1)]
+    assert rows(R.keep_top_ranked(df.limit(0), "v", 3, "r"), "id", "r") == []
+
+
 def test_group_stats_treat_null_as_a_group(spark, rows):
     df = spark.createDataFrame([(None, 1), (None, 3), ("a", 5)], "k string, v int")
-    assert rows(R.with_group_stats(df, ["k"], s=F.sum("v")), "v", "s") == [(1, 4), (3, 4), (5, 5)]
+    for stage in (False, True):
+        assert rows(R.with_group_stats(df, ["k"], stage=stage, s=F.sum("v")), "v", "s") == [(1, 4), (3, 4), (5, 5)]
 
 
 def test_titles_and_text(spark, rows):

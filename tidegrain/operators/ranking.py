@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,10 +27,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
 def keep_top_ranked(df: DataFrame, c: str, k: int, rank_col: str) -> DataFrame:
     """Rows whose ``RANK() OVER (ORDER BY c DESC) <= k``, ties kept.
 
-    The k-th largest value is a top-k scalar; only the rows at or above it reach the window.
+    All values ranked up to k are among the k largest rows, so the ranks are found on those k rows alone and joined to the table
+    by value: however many rows tie, they stay where they are. Nulls have no rank.
     """
-    kth = df.select(c).orderBy(F.col(c).desc()).limit(k).agg(F.min(c)).scalar()
-    return df.where(F.col(c) >= kth).withColumn(rank_col, F.rank().over(W.orderBy(F.col(c).desc())).cast("bigint"))
+    top = df.select(F.col(c).alias("_top")).where(F.col(c).isNotNull()).orderBy(F.desc("_top")).limit(k)
+    ranks = top.select("_top", F.rank().over(W.orderBy(F.desc("_top"))).cast("bigint").alias(rank_col)).distinct()
+    return df.join(F.broadcast(ranks), F.col(c) == F.col("_top")).drop("_top")  # at most k rows
 
 
 def top_of_group(df: DataFrame, keys: Sequence[str], c: str) -> DataFrame:
@@ -49,14 +52,23 @@ def dense_top(df: DataFrame, keys: Sequence[str], c: str, k: int, rank_col: str)
     return df.join(ranks.withColumn(rank_col, F.col(rank_col).cast("bigint")), [*keys, c])
 
 
-def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> DataFrame:
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, and of a size Catalyst knows when it plans a join."""
+    path = f"{shared_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_group_stats(df: DataFrame, keys: Sequence[str], stage: bool = False, **stats: Column) -> DataFrame:
     """Group statistics beside the detail rows.
 
     Partial aggregation plus a null-safe equi-join instead of a window: a hot group is pre-aggregated
-    in the map tasks, and the detail side is never gathered in one task.
+    in the map tasks, and the detail side is never gathered in one task. With ``stage``, meant for keys of few values, the statistics
+    are written first: under the broadcast threshold the detail rows are not shuffled at all, over it adaptive skew splitting holds.
     """
     renamed = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     small = df.groupBy(*renamed).agg(*[e.alias(n) for n, e in stats.items()])
+    small = staged(small) if stage else small
     cond = None
     for i, k in enumerate(keys):
         part = df[k].eqNullSafe(small[f"_k{i}"])

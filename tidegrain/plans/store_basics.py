@@ -311,7 +311,7 @@ def track_order_genre(t: Tables, least: int = 320) -> DataFrame:
     dense = t.tracks.groupBy("genre").agg(F.count("track_id").alias("n")).where(F.col("n") > least)
     rows = t.tracks.join(dense, "genre", "left_semi").select("track_id", "name", "genre", "milliseconds")
     numbered = global_row_number(rows, [F.col("genre"), F.col("milliseconds").desc(), F.col("track_id")], "no")
-    return with_group_stats(numbered, ["genre"], first=F.min("no")).select(
+    return with_group_stats(numbered, ["genre"], stage=True, first=F.min("no")).select(
         "track_id", F.col("name").alias("track_name"), "genre",
         half_up(F.col("milliseconds") / F.lit(60000.0)).alias("duration_minutes"),
         (F.col("no") - F.col("first") + 1).alias("track_position_in_genre"),
@@ -340,7 +340,7 @@ CAST(unit_price AS DOUBLE) - CAST(sum(unit_price) OVER (PARTITION BY genre) AS D
 FROM v_track""")
 def price_vs_genre(t: Tables) -> DataFrame:
     """Price beside the mean of its genre."""
-    both = with_group_stats(t.tracks, ["genre"], genre_mean=mean_of("unit_price"))
+    both = with_group_stats(t.tracks, ["genre"], stage=True, genre_mean=mean_of("unit_price"))
     return both.select(
         "track_id", F.col("name").alias("track_name"), F.coalesce("genre", F.lit("Unknown")).alias("genre_name"),
         dbl("unit_price").alias("unit_price"), F.col("genre_mean").alias("avg_genre_price"),

@@ -337,7 +337,7 @@ SELECT invoice_id, invoice_date, CAST(total AS DOUBLE) AS total, {h('m')} AS mon
 def _above_month_mean(t: Tables, keys: list[str]) -> DataFrame:
     d = F.col("invoice_date")
     rows = t.invoices.withColumn("_m", F.month(d)).withColumn("_y", F.year(d))
-    rows = R.with_group_stats(rows, keys, m=mean_of("total"))
+    rows = R.with_group_stats(rows, keys, stage=True, m=mean_of("total"))
     return rows.where(dbl("total") > F.col("m")).select("invoice_id", "invoice_date", dbl("total").alias("total"), half_up(F.col("m")).alias("month_mean"))
 
 
@@ -546,7 +546,7 @@ SELECT country, genre AS genre_name, CAST(s AS DOUBLE) AS genre_sales, {h('a')}
 def genre_dominance(t: Tables) -> DataFrame:
     """Genres above the mean genre of their country."""
     g = _genre_spend(t).join(t.customers.select("customer_id", "country"), "customer_id").groupBy("country", "genre").agg(F.sum("genre_spend").alias("s"))
-    rows = R.with_group_stats(g, ["country"], a=mean_of("s"))
+    rows = R.with_group_stats(R.staged(g), ["country"], stage=True, a=mean_of("s"))
     return rows.select("country", F.col("genre").alias("genre_name"), dbl("s").alias("genre_sales"), half_up(F.col("a")).alias("country_avg_genre_sales"),
                        half_up(dbl("s") - F.col("a")).alias("market_dominance_index")).where("market_dominance_index > 0")
 
