@@ -41,6 +41,27 @@ def test_equal_values_stay_linked():
     assert one("tel. 988.555.2485").replace(".", "")[4:] == one("(988) 555-2485").translate({ord(c): None for c in "() -"})
 
 
+def test_punctuation_of_telephone_numbers_and_order_of_dates():
+    digits = lambda s: "".join(c for c in s if c.isdigit())
+    same = [("+1 415 555 2671", "+14155552671", "+1 415 5552671", "(415) 555-2671"), ("+7 495 123 45 67", "+74951234567", "+7 (495) 1234567"), ("+49 30 12345678", "+493012345678"), ("+353 1 234 5678", "+35312345678"),
+            ("+1 115 555 2671", "+11155552671")]
+    for key in (KEY, *(b"key %d" % i for i in range(20))):
+        for layouts in same:
+            new = [one(v, key) for v in layouts]
+            assert len({digits(x)[-10:] for x in new}) == 1, (layouts, new)
+            assert [one(x, key, undo=True) for x in new] == list(layouts)
+    assert one("+353 1 234 5678").startswith("+353") and one("+74951234567").startswith("+7")
+    linked = 0
+    for i in range(300):
+        iso, us = f"{1950 + i % 100}-{1 + i % 12:02d}-{13 + i % 16}", f"{1 + i % 12:02d}/{13 + i % 16}/{1950 + i % 100}"
+        new, y = one(us), one(iso)
+        assert one(new, undo=True) == us and int(new[3:5]) > 12
+        if int(y[8:]) > 12:
+            assert new == f"{y[5:7]}/{y[8:]}/{y[:4]}"
+            linked += 1
+    assert linked > 150
+
+
 def test_invalid_and_other_strings_stay():
     for v in ("4337166598464390", "0000000000000000", "999.1.1.1", "1.2.3", "1.2.3.4.5", "2001-02-30", "31/31/2001", "1899-01-01", "000-12-3456", "123-45-678", "DE00 3704 0044 0532 0130 00", "x4337166598464399",
               "(188) 555-2485", "a@b", "@example.com", "n = 12345678", "ü", "", " "):

@@ -71,5 +71,22 @@ def test_false_magic_and_broken_members_are_passed_over():
         assert got == [0, 2, 3]
 
 
+def test_headers_that_are_no_numbers():
+    good = warc.member(5, "u", b"body", None, False)
+    record = gzip.decompress(good)
+    assert warc.parse(record)["page_id"] == 5
+    for bad in (b"abc", b"", b"-1", b"1e3", b"9" * 30):
+        broken = record.replace(b"\r\nContent-Length: ", b"\r\nContent-Length: " + bad + b"\r\nOld-Length: ", 1)
+        assert warc.parse(broken) is None
+        data = gzip.compress(broken) + good
+        assert [r["page_id"] for r in warc.records_in(warc.Window(io.BytesIO(data), len(data), 64), 0, len(data))] == [5]
+    for page in (b"p-1", b"", b"9" * 19, b"1.5", "٣".encode()):
+        assert warc.parse(record.replace(b"X-Page-Id: 5", b"X-Page-Id: " + page))["page_id"] is None
+    assert warc.parse(record.replace(b"X-Page-Id: 5", b"X-Page-Id: -8"))["page_id"] == -8
+    revisit = gzip.decompress(warc.member(6, "u", b"body", 5, True))
+    assert (warc.parse(revisit)["payload_bytes"], warc.parse(revisit)["refers_to"]) == (4, 5)
+    assert warc.parse(revisit.replace(b"Content-Length: 4", b"Content-Length: x"))["payload_bytes"] == 0
+
+
 def test_empty_table(spark):
     assert warc.archived(frame(spark, fixture()).limit(0)).collect() == []

@@ -3,7 +3,9 @@
 A value is found by its pattern, validated (check digits, calendar, ranges) and turned into its index in the set of all valid values of
 the kind. A Feistel network over two parts, keyed with BLAKE2b, permutes the indexes; it walks on until the result is in the set.
 The result is written in the original's layout. So a valid value becomes another valid value of the kind, equal values become
-equal pseudonyms in every document, however they are punctuated, and whoever has the key can undo it.
+equal pseudonyms in every document, however they are punctuated, and whoever has the key can undo it. Two exceptions keep a result
+readable like its original: a date that only reads month first (02/28/2001) has the pseudonym of 2001-02-28 where that has a day above
+12, some three times in five, else the next of its cycle that has; and see ``pseudonymize`` for values beside readings that failed.
 """
 
 from __future__ import annotations
@@ -42,6 +44,9 @@ IBAN_LENGTH = {x[:2]: int(x[2:]) for x in (
     "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 "
     "IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SD18 SE24 SI19 SK24 SM27 "
     "ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20").split()}
+#: Country codes of one and of two digits; all others have three.
+ONE_DIGIT = "17"
+TWO_DIGITS = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 EMAIL = re.compile(r"(?<![\w.+-])([A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?)@((?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})(?![\w-])")
 
 
@@ -136,24 +141,32 @@ def _ssn(s, move):
     return _fill(s, f"{move('ssn', 10**9, index, valid):09d}") if valid(index) else None
 
 
+def _in_plan(i):
+    """Is a number of ten digits one of the North American plan?"""
+    return i // 10**9 >= 2 and i // 10**6 % 10 >= 2
+
+
 def _nanp(s, move):
     d = re.sub(r"\D", "", s)
     front, d = d[:-10], d[-10:]
+    return _fill(s, front + f"{move('nanp', 10**10, int(d), _in_plan):010d}") if _in_plan(int(d)) else None
 
-    def valid(i):
-        return i // 10**9 >= 2 and i // 10**6 % 10 >= 2
 
-    return _fill(s, front + str(move("nanp", 10**10, int(d), valid))) if valid(int(d)) else None
+def calling_code(digits: str) -> str:
+    """The country code that begins an international number: one digit, two, or three where neither is a code."""
+    return digits[: 1 if digits[0] in ONE_DIGIT else 2 if digits[:2] in TWO_DIGITS else 3]
 
 
 def _phone(s, move):
     d = re.sub(r"\D", "", s)
     if not 8 <= len(d) <= 15:
         return None
-    keep = re.match(r"\+(\d+)", s)[1]
-    keep = d[: min(len(keep), 2)]
-    n = len(d) - len(keep)
-    return _fill(s, keep + f"{move(f'phone{keep}', 10**n, int(d[len(keep):])):0{n}d}")
+    code = calling_code(d)
+    rest = d[len(code):]
+    if code == "1" and len(rest) == 10 and _in_plan(int(rest)):
+        return _nanp(s, move)
+    valid = (lambda i: not _in_plan(i)) if code == "1" and len(rest) == 10 else (lambda i: True)
+    return _fill(s, code + f"{move(f'phone{code}', 10 ** len(rest), int(rest), valid):0{len(rest)}d}")
 
 
 def _ip(s, move):
@@ -175,9 +188,9 @@ def _date(s, move, order):
             continue
         if not 0 <= day < DAYS:
             continue
-        # A date that can only be read month first stays one of those.
+        # A date that can only be read month first stays one of those: where the day's pseudonym is not, it is permuted on.
         valid = (lambda i: dt.date.fromordinal(FIRST_DAY + i).day > 12) if names == "mdy" else (lambda i: True)
-        new = dt.date.fromordinal(FIRST_DAY + move("date-mdy" if names == "mdy" else "date", DAYS, day, valid))
+        new = dt.date.fromordinal(FIRST_DAY + move("date", DAYS, day, valid))
         value = {"y": new.year, "m": new.month, "d": new.day}
         return mark.join(f"{value[n]:0{len(f)}d}" for n, f in zip(names, fields))
     return None

@@ -2,13 +2,16 @@
 
 A reading task gets a byte range of an archive. It scans the range for the gzip magic, accepts a position as the start of a member
 if the bytes there inflate to a WARC version line, and owns the records whose members start inside its range; the last one is
-read beyond the end of the range. From an accepted member it goes on at the byte behind it, so ranges agree on every start.
+read beyond the end of the range. From an accepted member it goes on at the byte behind it, so ranges agree on every start. The exception is
+a payload that deflate stored as it was and that holds a gzipped record itself: a range that begins inside it takes that for a record.
+Text such as html cannot hold one, as the magic is no UTF-8; read archives of binary payloads with ``split_bytes`` of their size.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -22,6 +25,7 @@ from tidegrain.llm.common import new_folder, slices, small, storage, written
 MAGIC = b"\x1f\x8b\x08"
 #: Names and version line of the WARC 1.1 format.
 VERSION, PROFILE = b"WARC/1.1", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+INTEGER = re.compile(r"-?[0-9]{1,19}")
 ARCHIVE_BYTES, SPLIT_BYTES, READ_BYTES = 512 << 20, 16 << 20, 1 << 20
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
@@ -85,26 +89,33 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, archive_bytes: int
     return written(rows.mapInArrow(run, "path string, records long, bytes long"), "warc-archives")
 
 
+def number(text: str) -> int | None:
+    """A decimal integer of 64 bits, None for any other text."""
+    value = int(text) if INTEGER.fullmatch(text) else None
+    return value if value is not None and -(1 << 63) <= value < 1 << 63 else None
+
+
 def parse(record: bytes) -> dict | None:
-    """Fields of an inflated record, None if it isn't a whole one."""
+    """Fields of an inflated record, None if it isn't a whole one or its length is no number. Page ids that are no integers are null."""
     head, gap, block = record.partition(b"\r\n\r\n")
     lines = head.decode("utf-8", "replace").split("\r\n")
     if not gap or not lines[0].startswith("WARC/"):
         return None
     fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-    length = int(fields.get("content-length", "-1"))
-    if not 0 <= length <= len(block):
+    length = number(fields.get("content-length", ""))
+    if length is None or not 0 <= length <= len(block):
         return None
     http, _, payload = block[:length].partition(b"\r\n\r\n")
     kind, page, refers = fields.get("warc-type", ""), fields.get("x-page-id", ""), fields.get("x-refers-to-page-id", "")
     digest, size = fields.get("warc-payload-digest", "").partition(":")[2], len(payload)
     if kind == "revisit":
-        size = next((int(v) for k, _, v in (x.partition(b":") for x in http.split(b"\r\n")) if k.strip().lower() == b"content-length"), 0)
+        sizes = (v.strip() for k, _, v in (x.partition(":") for x in http.decode("latin-1").split("\r\n")) if k.strip().lower() == "content-length")
+        size = max(number(next(sizes, "")) or 0, 0)
     else:
         digest = sha1_base32(payload)
     return {
-        "page_id": int(page) if page else None, "url": fields.get("warc-target-uri"), "payload_bytes": size, "payload_digest": digest, "record_type": kind,
-        "refers_to": int(refers) if refers else None, "payload": None if kind == "revisit" else payload}
+        "page_id": number(page), "url": fields.get("warc-target-uri"), "payload_bytes": size, "payload_digest": digest, "record_type": kind,
+        "refers_to": number(refers), "payload": None if kind == "revisit" else payload}
 
 
 class Window:
