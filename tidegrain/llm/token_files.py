@@ -49,32 +49,35 @@ class Encoder:
     TAIL, LONGEST = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", 64
 
     class Kept(dict):
-        """Ids of parts as little-endian bytes; ``spaced``: with a space before them, None where the text must not be cut at their ends."""
+        """Ids of parts as little-endian bytes; ``spaced``: with a space before them, None where the text must not be cut at their ends.
 
-        def __init__(self, encoder: "Encoder", spaced: bool):
+        At most ``limit`` parts are kept; those with line breaks hardly ever repeat and aren't.
+        """
+
+        def __init__(self, encoder: "Encoder", spaced: bool, limit: int):
             super().__init__()
-            self.encoder, self.spaced = encoder, spaced
+            self.encoder, self.spaced, self.limit = encoder, spaced, limit
 
         def __missing__(self, part: str) -> bytes | None:
             value = self.encoder.part(part, self.spaced)
-            if len(part) <= Encoder.LONGEST:
-                if len(self) >= self.encoder.limit:
+            if len(part) <= Encoder.LONGEST and "\n" not in part:
+                if len(self) >= self.limit:
                     self.clear()
                 self[part] = value
             return value
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 450_000, whole_limit: int = 60_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.alphabet = byte_alphabet()
         model = self.tokenizer.model
         model._resize_cache(0)  # its words would be kept twice
         self.bpe, self.blank = model.tokenize, chr(self.alphabet[0x20])
         self.line = self.direct("\n")
-        self.whole, self.spaced = self.Kept(self, False), self.Kept(self, True)
+        self.whole, self.spaced = self.Kept(self, False, whole_limit), self.Kept(self, True, limit)
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
