@@ -1,8 +1,10 @@
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +122,57 @@ def test_empty_and_untrained_tables(spark, tmp_path):
     assert {tuple(r)[1:] for r in lm.score(spark, str(tmp_path / "few"), F.lit(False), F.lit(False)).collect()} == {(3, 0, 0, 0.0, 0.0), (1, 0, 0, 0.0, 0.0)}
     got = lm.score(spark, str(tmp_path / "few"), F.lit(True), F.lit(False)).collect()
     assert all(math.isfinite(r["score"]) and r["n_known"] == r["n_tokens"] for r in got)
+
+
+def test_tokens_of_a_slice_are_those_of_each_text():
+    long = "x" * (lm.LONG - 1)
+    parts = ["a", "A", "a\0", "\0", "ab", "é", "É", "12345678", "123456789", "1234567812345678", long, long + "y", long + "yz", long + "zz", "\x1c", "\x85", " ", "\x0b\x0c", "\t\n\r "]
+    rng = random.Random(3)
+    texts = ["a", "b", None, "", " ", "a", *("".join(rng.choices(parts, k=rng.randrange(9))) + " " * rng.randrange(2) + "".join(rng.choices(parts, k=3)) for _ in range(300))]
+    column = pa.array(texts).slice(1)
+    x, first = lm.tokens(column)
+    seen = {}
+    for text, a, b in zip(column.to_pylist(), first, first[1:]):
+        marks = ["<s>", *words(text)]
+        assert b - a == len(marks)
+        assert [seen.setdefault(w, h) for w, h in zip(marks, x[a:b].tolist())] == x[a:b].tolist()
+    assert len(set(seen.values())) == len(seen) > 300
+    one, two, at = lm.ngrams(column)
+    for n, a, b, c, d in zip(range(len(column)), first, first[1:], at, at[1:]):
+        alone = lm.ngrams(column.slice(n, 1))
+        assert d - c == b - a - 1 and (one[c:d] == alone[0]).all() and (two[c:d] == alone[1]).all()
+    assert [len(v) for v in lm.ngrams(pa.array([], pa.string()))] == [0, 0, 1] and [len(v) for v in lm.ngrams(pa.array([None], pa.string()))] == [1, 1, 2]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000])
+def test_places(n):
+    rng = np.random.default_rng(n)
+    keys = np.unique(rng.integers(0, 2**64, n, np.uint64, endpoint=False) if n != 2 else np.array([0, 2**64 - 1], np.uint64))
+    wanted = np.concatenate([keys, keys + np.uint64(1), keys - np.uint64(1), rng.integers(0, 2**64, 99, np.uint64, endpoint=False), np.array([0, 2**64 - 1], np.uint64)])
+    at, hit = lm.Places(keys).of(wanted)
+    assert (hit == np.isin(wanted, keys)).all() and (keys[at[hit]] == wanted[hit]).all()
+
+
+def test_requests_cost_a_few_times_the_splitting():
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{w}" for w in rng.zipf(1.1, 500) % 1_000_000) for _ in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "role": pa.array(np.arange(2000) % 3, pa.int32()), "block": pa.array(np.full(2000, 5))})
+
+    class Table:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):  # noqa: N802
+            return run
+
+    def least(work):
+        spent = []
+        for _ in range(3):
+            start = time.process_time()
+            work()
+            spent.append(time.process_time() - start)
+        return min(spent)
+
+    run = lm.requests(Table(), 4)
+    cost, split = least(lambda: list(run([batch]))), least(lambda: [t.encode().lower().split() for t in texts])
+    assert cost < 11 * split, (cost, split)  # some 5 times; 22 with a look-up per word and distinct values by a hash table

@@ -15,13 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import WordHashes, mix, new_folder, slices, storage, texts_of, written
+from tidegrain.llm.common import mix, new_folder, slices, storage, written
 
 #: Rows of a file that form a block, and tokens after which a block sends a part of its request.
 BLOCK_ROWS, REQUEST_TOKENS = 4096, 2_000_000
@@ -29,8 +30,10 @@ BLOCK_ROWS, REQUEST_TOKENS = 4096, 2_000_000
 BUCKETS, STEPS, OCTAVES, EM_ROUNDS = 25, 8, 48, 30
 #: Hashes of the end token and of the start of a text, strings that no word can be.
 END, START = (np.array([xxhash.xxh64_intdigest(b)], np.uint64) for b in (b" ", b"  "))
-HASHES = WordHashes(250_000)
-ONE = np.ones(1, np.uint64)
+#: A-Z lower-cased and white space, by byte; masks for the first bytes of eight; words over LONG bytes are hashed singly.
+FOLD, BLANK = (np.frombuffer(x, t) for x, t in ((bytes(range(256)).lower(), np.uint8), (bytes(not bytes([b]).strip() for b in range(256)), bool)))
+HEAD = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+LONG, GOLDEN = 64, np.uint64(0x9E3779B97F4A7C15)
 REQUEST = "n int, bucket int, block long, keys binary, total binary, tuning binary, held binary"
 ANSWER = "n int, bucket int, keys binary, total binary, tuning binary, types long, tokens long, tuning_tokens long, block long"
 
@@ -50,17 +53,74 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
 
 
-def tokens(text: bytes) -> np.ndarray:
-    """Hashes of the text's tokens: the start mark, the lower-cased words, the end token."""
-    return np.concatenate([START, HASHES.of(text.lower().split()), END])
-
-
-def unigrams(x: np.ndarray) -> np.ndarray:
-    return mix(x[1:])
-
-
-def bigrams(x: np.ndarray) -> np.ndarray:
-    return mix(x[:-1] * np.uint64(0x9E3779B97F4A7C15) + mix(x[1:] + np.uint64(1)))
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order. np.unique, asked for nothing else, takes a hash table, which is many times slower here than the sort."""
+    values = np.sort(values)
+    return values[np.concatenate([np.ones(len(values[:1]), bool), values[1:] != values[:-1]])]
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges, for all ranges at once: eight bytes a round, with the length as the seed."""
+    eights = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    size = stop - start
+    out = size.astype(np.uint64) * GOLDEN
+    todo = np.flatnonzero(size <= LONG)
+    for at in range(0, LONG, 8):
+        todo = todo[size[todo] > at]
+        out[todo] = mix((out[todo] + np.uint64(at)) ^ (eights[start[todo] + at] & HEAD[np.minimum(size[todo] - at, 8)]))
+    for i in np.flatnonzero(size > LONG):
+        out[i] = xxhash.xxh64_intdigest(data[start[i] : stop[i]])
+    return out
+
+
+def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all texts' tokens (of each text the start mark, the lower-cased words, the end token), and where the texts start and end in them."""
+    binary = pc.fill_null(column.cast(pa.large_binary()), b"")
+    cut = np.frombuffer(binary.buffers()[1], np.int64)[binary.offset : binary.offset + len(binary) + 1]
+    data = FOLD[np.frombuffer(binary.buffers()[2] or b"", np.uint8)[cut[0] : cut[-1]]]
+    cut = cut - cut[0]
+    word, inside = ~BLANK[data], np.ones(len(data) + 1, bool)
+    inside[cut] = False  # no word goes on from one text to the next
+    joined = word[1:] & word[:-1] & inside[1:-1]
+    start = np.flatnonzero(word & ~np.concatenate([[False], joined])[: len(data)])
+    stop = np.flatnonzero(word & ~np.concatenate([joined, [False]])[: len(data)]) + 1
+    words = np.diff(np.searchsorted(start, cut))
+    first = np.concatenate([[0], np.cumsum(words + 2)])
+    x = np.empty(first[-1], np.uint64)
+    x[first[:-1]], x[first[1:] - 1] = START, END
+    x[np.arange(len(start)) + np.repeat(2 * np.arange(len(words)) + 1, words)] = word_hashes(data, start, stop)
+    return x, first
+
+
+def ngrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the unigram and of the bigram that end at each token of the texts, start marks left out, and where the texts start and end in them."""
+    x, first = tokens(column)
+    kept = np.ones(len(x), bool)
+    kept[first[:-1]] = False
+    bigrams = np.concatenate([x[:1], mix(x[:-1] * GOLDEN + mix(x[1:] + np.uint64(1)))])
+    return mix(x[kept]), bigrams[kept], first - np.arange(len(first))
+
+
+class Places:
+    """Finds values in a sorted array of distinct evenly spread 64-bit values: a table over the top bits says where to start."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.append(keys, np.uint64(2**64 - 1))  # a value above all others ends the search
+        bits = max(1, len(keys).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << bits))])
+
+    def of(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Position of each wanted value and whether it is there; the position of an absent one is any."""
+        at = self.starts[(wanted >> self.shift).astype(np.int64)]
+        found = self.keys[at]
+        todo = np.flatnonzero(found < wanted)
+        while len(todo):
+            at[todo] += 1
+            found[todo] = self.keys[at[todo]]
+            todo = todo[found[todo] < wanted[todo]]
+        hit = (found == wanted) & (at < len(self.keys) - 1)
+        return np.where(hit, at, 0), hit
 
 
 def blocks(spark: SparkSession, folder: str, training: Column, tuning: Column) -> DataFrame:
@@ -82,9 +142,9 @@ def by_block(batches, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
 def requests(docs: DataFrame, bits: int) -> DataFrame:
     """What every block asks for: its distinct n-grams by hash range, with its own counts."""
 
-    def packed(block: int, n: int, parts: list[tuple[int, np.ndarray]]):
-        own = [np.unique(np.concatenate([ONE[:0], *(k for r, k in parts if r == role)]), return_counts=True) for role in range(3)]
-        keys = np.unique(np.concatenate([k for k, _ in own]))
+    def packed(block: int, n: int, roles: np.ndarray, hashes: np.ndarray):
+        own = [np.unique(hashes[roles == role], return_counts=True) for role in range(3)]
+        keys = distinct(np.concatenate([k for k, _ in own]))
         total, tuning, held = (np.zeros(len(keys), np.uint64) for _ in range(3))
         for out, role in ((held, 0), (total, 1), (total, 2), (tuning, 2)):
             out[np.searchsorted(keys, own[role][0])] += own[role][1].astype(np.uint64)
@@ -97,20 +157,23 @@ def requests(docs: DataFrame, bits: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["n", "bucket", "block", "keys", "total", "tuning", "held"])
 
     def run(batches):
-        held, size, current = ([], []), 0, None
+        held, size, current = [], 0, None
+
+        def sent():
+            roles, *hashes = (np.concatenate(c) for c in zip(*held))
+            yield from (packed(current, n, roles, hashes[n - 1]) for n in (1, 2))
+
         for part in by_block(batches):
             block = part.column("block")[0].as_py()
-            if size and (block != current or size > REQUEST_TOKENS):
-                yield from (packed(current, n + 1, held[n]) for n in (0, 1))
-                held, size = ([], []), 0
+            if held and (block != current or size > REQUEST_TOKENS):
+                yield from sent()
+                held, size = [], 0
             current = block
-            for role, text in zip(part.column("role").to_pylist(), texts_of(part.column("text"))):
-                x = tokens(text)
-                held[0].append((role, unigrams(x)))
-                held[1].append((role, bigrams(x)))
-                size += len(x)
-        if size:
-            yield from (packed(current, n + 1, held[n]) for n in (0, 1))
+            one, two, first = ngrams(part.column("text"))
+            held.append((np.repeat(part.column("role").to_numpy().astype(np.int8), np.diff(first)), one, two))
+            size += len(one)
+        if held:
+            yield from sent()
 
     return docs.select("text", "role", "block").mapInArrow(run, REQUEST)
 
@@ -149,22 +212,24 @@ class Counts:
     def __init__(self, folder: str, block: int):
         fs, base = storage(f"{folder.rstrip('/')}/block={block}")
         files = [f for f in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)) if f.base_name.endswith(".parquet")]
-        rows = [r for f in files for r in pq.ParquetFile(fs.open_input_file(f.path)).read(columns=["n", "keys", "total", "tuning"]).to_pylist()]
+        rows = [r for f in files for r in pq.ParquetFile(fs.open_input_file(f.path)).read(columns=["n", "bucket", "keys", "total", "tuning"]).to_pylist()]
+        rows.sort(key=lambda r: r["bucket"])  # so the keys are nearly in order
         self.by_n = {}
         for n in (1, 2):
             mine = [r for r in rows if r["n"] == n]
             none = [np.zeros(0, np.uint64)]
-            keys, first = np.unique(np.concatenate(none + [np.cumsum(unpack(r["keys"]), dtype=np.uint64) for r in mine]), return_index=True)
-            self.by_n[n] = (keys, *(np.concatenate(none + [unpack(r[c]) for r in mine])[first].astype(float) for c in ("total", "tuning")))
-
-    def of(self, n: int, wanted: np.ndarray, role: int) -> tuple[np.ndarray, np.ndarray]:
+            keys = np.concatenate(none + [np.cumsum(unpack(r["keys"]), dtype=np.uint64) for r in mine])
+            counts = [np.concatenate(none + [unpack(r[c]) for r in mine]).astype(float) for c in ("total", "tuning")]
+            if not (keys[1:] > keys[:-1]).all():  # a block that asked in parts
+                keys, first = np.unique(keys, return_index=True)
+                counts = [c[first] for c in counts]
+            self.by_n[n] = (Places(keys), *(np.append(c, 0.0) for c in counts))
+
+    def of(self, n: int, wanted: np.ndarray, roles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Total and tuning counts. Without an answer the n-gram occurs once, in the training document at hand, or never if it is no training document."""
-        keys, total, deleted = self.by_n[n]
-        if not len(keys):
-            return np.full(len(wanted), float(role > 0)), np.full(len(wanted), float(role == 2))
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        hit = keys[at] == wanted
-        return np.where(hit, total[at], float(role > 0)), np.where(hit, deleted[at], float(role == 2))
+        places, total, deleted = self.by_n[n]
+        at, hit = places.of(wanted)
+        return np.where(hit, total[at], roles > 0), np.where(hit, deleted[at], roles == 2)
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -172,19 +237,21 @@ def bucket_of(context: np.ndarray) -> np.ndarray:
     return np.where(context > 0, np.minimum(np.frexp(np.maximum(context, 1))[1], BUCKETS - 1), 0)
 
 
-def estimates(x: np.ndarray, counts: Counts, role: int, texts: tuple[float, float], size: tuple[float, float], deleted: bool):
-    """(unigram counts, unigram and bigram estimates, context counts) of a document's tokens, with or without the tuning part.
+def estimates(column: pa.Array, counts: Counts, roles: np.ndarray, texts: tuple[float, float], size: tuple[float, float], deleted: bool):
+    """(unigram counts, unigram and bigram estimates, context counts) of all texts' tokens, with or without the tuning part, and where the texts start and end in them.
 
-    texts: training and tuning documents, the counts of the start context; size: training and tuning tokens.
+    roles: one per text; texts: training and tuning documents, the counts of the start context; size: training and tuning tokens.
     """
-    c1, d1 = counts.of(1, unigrams(x), role)
-    c2, d2 = counts.of(2, bigrams(x), role)
-    context = np.concatenate([[texts[0]], c1[:-1]])
-    n = size[0]
+    one, two, first = ngrams(column)
+    roles = np.repeat(roles, np.diff(first))
+    c1, d1 = counts.of(1, one, roles)
+    c2, d2 = counts.of(2, two, roles)
+    n, opening = size[0], texts[0]
     if deleted:
-        c1, c2, n = c1 - d1, c2 - d2, size[0] - size[1]
-        context = context - np.concatenate([[texts[1]], d1[:-1]])
-    return c1, c1 / max(n, 1), np.where(context > 0, c2 / np.maximum(context, 1), 0), context
+        c1, c2, n, opening = c1 - d1, c2 - d2, size[0] - size[1], texts[0] - texts[1]
+    context = np.concatenate([c1[:1], c1[:-1]])
+    context[first[:-1]] = opening
+    return c1, c1 / max(n, 1), np.where(context > 0, c2 / np.maximum(context, 1), 0), context, first
 
 
 def tuning_cells(docs: DataFrame, folder: str, texts: tuple[float, float], size: tuple[float, float]) -> DataFrame:
@@ -199,11 +266,9 @@ def tuning_cells(docs: DataFrame, folder: str, texts: tuple[float, float], size:
             block = part.column("block")[0].as_py()
             if block != loaded:
                 loaded, counts = block, Counts(folder, block)
-            cells = []
-            for text in texts_of(part.column("text")):
-                _, f1, f2, context = estimates(tokens(text), counts, 2, texts, size, True)
-                cells.append((bucket_of(context) * (OCTAVES * STEPS + 1) + quantised(f1)) * (OCTAVES * STEPS + 1) + quantised(f2))
-            found, n = np.unique(np.concatenate(cells), return_counts=True)
+            _, f1, f2, context, _ = estimates(part.column("text"), counts, np.full(part.num_rows, 2), texts, size, True)
+            cells = (bucket_of(context) * (OCTAVES * STEPS + 1) + quantised(f1)) * (OCTAVES * STEPS + 1) + quantised(f2)
+            found, n = np.unique(cells, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["cell", "n"])
 
     return docs.where("role = 2").select("text", "block").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
@@ -261,20 +326,17 @@ def score(spark: SparkSession, folder: str, training: Column, tuning: Column, bu
 
     def run(batches):
         loaded, counts = None, None
-        for part in by_block(batches):
+        for part in by_block(batches, 1 << 20):
             block = part.column("block")[0].as_py()
             if block != loaded:
                 loaded, counts = block, Counts(place, block)
-            out = []
-            for role, text in zip(part.column("role").to_pylist(), texts_of(part.column("text"))):
-                x = tokens(text)
-                c1, f1, f2, context = estimates(x, counts, role, texts, size, False)
-                w = weights[bucket_of(context)]
-                p = w[:, 0] * uniform + w[:, 1] * f1 + w[:, 2] * f2
-                out.append((len(x) - 1, int((c1 > 0).sum()), float(np.log10((c1 + 1) / (size[0] + types + 1)).sum()), float(np.log10(p).sum())))
-            n, known, base, model = zip(*out)
+            c1, f1, f2, context, first = estimates(part.column("text"), counts, part.column("role").to_numpy(), texts, size, False)
+            w = weights[bucket_of(context)]
+            p = w[:, 0] * uniform + w[:, 1] * f1 + w[:, 2] * f2
+            n = np.diff(first)
+            known, base, model = (np.add.reduceat(v, first[:-1]) for v in ((c1 > 0).astype(np.int64), np.log10((c1 + 1) / (size[0] + types + 1)), np.log10(p)))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array([int(size[0])] * len(n), pa.int64()), pa.array(base, pa.float64()), pa.array(model, pa.float64())],
+                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(n), int(size[0])), pa.int64()), pa.array(base, pa.float64()), pa.array(model, pa.float64())],
                 ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return docs.mapInArrow(run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
