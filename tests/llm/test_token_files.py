@@ -5,10 +5,11 @@ import zlib
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidegrain.llm import token_files
+from tidegrain.llm import common, token_files
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["", " ", "  ", "\n", "a", " a", "a ", "a  b", "a \n b", "a\n b", "a\n\nb c", "it's we'll  'd", "été naïve", "x y z", "a  b", "a\x1c b", "a \x1fb", "1 22 333!!", "<|endoftext|>",
@@ -85,3 +86,39 @@ def test_selective_reads(spark, saved):
 
 def test_empty_table(spark):
     assert token_files.round_trip(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_rows_go_to_python_in_bounded_pieces(spark):
+    rng, n = random.Random(3), token_files.PIECE
+    ids = [[rng.randrange(50_000) for _ in range(k)] for k in (1, n - 1, n, n + 1, 2 * n, 7 * n + 3, 40 * n, 0, 2)] + [None]
+    rows = spark.createDataFrame([(i, 10 * i, len(x or []), x) for i, x in enumerate(ids)] + [(None, 5, 1, [7])], "doc_id long, start long, n_tokens long, ids array<int>").coalesce(1)
+    sums = token_files.checksums(rows)
+    given = sums._jdf.queryExecution().analyzed().children().head()  # what mapInArrow gets
+    given = DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, given), spark)
+    assert given.agg(F.max(F.size("ids"))).first()[0] <= n
+    want = sorted(((i, 10 * i, len(x or []), zlib.crc32(struct.pack(f"<{len(x or [])}I", *(x or [])))) for i, x in enumerate(ids)), key=repr) + [(None, 5, 1, zlib.crc32(struct.pack("<I", 7)))]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for most in ("3", "1", old):  # pieces of a row in several batches
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+            assert sorted((tuple(r) for r in token_files.checksums(rows).collect()), key=repr) == sorted(want, key=repr)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_other_operators_let_the_encoder_go():
+    import weakref
+
+    import pyarrow as pa
+
+    class Plan:
+        """Runs mapInArrow in this process, as a worker that has encoded before."""
+
+        def mapInArrow(self, run, schema):
+            return list(run([pa.RecordBatch.from_pydict({"text": ["a b"]})]))
+
+    common.release()
+    kept = weakref.ref(token_files.encoder(PATH))
+    assert kept() is token_files.encoder(PATH)
+    assert len(common.map_slices(Plan(), lambda batch: batch, "text string")) == 1
+    assert kept() is None

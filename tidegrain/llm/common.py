@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -100,6 +101,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept(key: str, build: Callable[[], object]):
+    """What a Python worker keeps from task to task. It keeps the value of one key only: operators that share workers don't add up."""
+    if key not in _KEPT:
+        release()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Let go what the worker kept; for tasks that don't need it, as workers live on."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()  # an encoder and its words refer to each other
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
@@ -122,6 +141,7 @@ def map_slices(df: DataFrame, build: Callable[[pa.RecordBatch], pa.RecordBatch],
     """``mapInArrow`` with bounded slices: ``build`` sees a few megabytes of text at a time."""
 
     def run(batches):
+        release()
         for part in slices(batches, text):
             yield build(part)
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegrain.llm.common import free_name, slices, texts_of, written
+from tidegrain.llm.common import free_name, release, slices, texts_of, written
 
 CELL_BITS = 16
 #: Smoothing count per cell, EM rounds, and the penalty per further language as a multiple of log(words).
@@ -49,6 +49,7 @@ def learn(docs: DataFrame, training: Column) -> tuple[list[str], np.ndarray]:
     """
 
     def run(batches):
+        release()
         counts: dict[str, np.ndarray] = {}
         for batch in slices(batches, "text", 2 << 20):
             langs = batch.column("lang").to_pylist()
@@ -148,6 +149,7 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, names: tuple[s
         return pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, *names])
 
     def run(batches):
+        release()
         for part in slices(batches, "text", max(64 << 10, (4 << 20) // max(1, len(langs)))):
             yield build(part)
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegrain.llm.common import new_folder, slices
+from tidegrain.llm.common import kept, new_folder, release, slices
 
 #: Row groups of at most 32 MB; pages of at most 64 kB or 500 rows.
 LAYOUT = {
@@ -27,6 +27,8 @@ LAYOUT = {
     "parquet.enable.dictionary#local_start": "false", "parquet.enable.dictionary#n_tokens": "false"}
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 END = 0
+#: Ids of a row that goes to Python: batches of 10,000 rows hold 10 MB, however long the documents are.
+PIECE = 256
 
 
 def byte_alphabet() -> dict[int, int]:
@@ -111,13 +113,8 @@ class Encoder:
         return b"".join(map(self.whole.__getitem__, self.CUT.split(text))) if text else b""
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return kept(f"encoder {path}", lambda: Encoder(path))
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str) -> None:
@@ -167,17 +164,36 @@ def tokens_between(spark: SparkSession, folder: str, start: int, stop: int) -> D
     return rows.select("doc_id", (F.col("start") + low).alias("start"), F.slice("ids", (low + 1).cast("int"), length.cast("int")).alias("ids"))
 
 
+def pieces(rows: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, last, ids): every row cut into rows of at most PIECE ids, in order; ``last`` marks the end of a row.
+
+    A row without ids has one empty piece.
+    """
+    n = F.greatest(F.size("ids"), F.lit(1))
+    cut = rows.select("doc_id", "start", "n_tokens", "ids", F.explode(F.sequence(F.lit(0), n - 1, F.lit(PIECE))).alias("at"))
+    return cut.select("doc_id", "start", "n_tokens", (F.col("at") + PIECE >= n).alias("last"), F.slice("ids", F.col("at") + 1, F.lit(PIECE)).alias("ids"))
+
+
 def checksums(rows: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of rows with ids."""
+    """(doc_id, start, n_tokens, ids_crc32) of rows with ids. They go to Python in pieces, a checksum carried from one to the next."""
 
     def run(batches):
+        release()  # the encoder, when the files are written
+        crc = 0  # of the row that goes on in the next batch
         for batch in batches:
+            if batch.num_rows == 0:
+                continue
             lists = batch.column("ids")
-            flat, at = np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), "<u4"), lists.offsets.to_numpy()
-            crc = [zlib.crc32(flat[a:b]) for a, b in zip(at, at[1:])]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return rows.select("doc_id", "start", "n_tokens", "ids").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+            flat, at = np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), "<i4"), lists.offsets.to_numpy()
+            ends, begin, done = np.flatnonzero(batch.column("last").to_numpy(zero_copy_only=False)), at[0], []
+            for end in at[ends + 1]:
+                done.append(zlib.crc32(flat[begin:end], crc))
+                begin, crc = end, 0
+            crc = zlib.crc32(flat[begin:at[-1]], crc)
+            whole = [batch.column(c).take(pa.array(ends)) for c in ("doc_id", "start", "n_tokens")]
+            yield pa.RecordBatch.from_arrays([*whole, pa.array(done, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return pieces(rows).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def round_trip(docs: DataFrame, tokenizer: str, folder: str | None = None) -> DataFrame:
