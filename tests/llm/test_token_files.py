@@ -44,6 +44,35 @@ def test_cutting_at_spaces_changes_no_ids():
             assert list(struct.unpack(f"<{len(encode(t)) // 4}i", encode(t))) == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_lists_of_a_slice_are_the_librarys():
+    import pyarrow as pa
+
+    encode, tokenizer, rng = token_files.Encoder(PATH, 500, 300), Tokenizer.from_file(PATH), random.Random(4)
+    some = [" ", " ", "\n", "\n\n", "a", "'s", "B", "9", "!", ".", ", ", ". ", ") ", "é", "²", "e\u0301, ", "\u2167, ", "Ⓐ. ", "\t", "\x1c", "\x85", "\u3000", "日", "x" * 70, "&&", "-", "n'", "\"", "_", "ß,%"]
+    texts = ODD + [None, "\0", "a\0 b", "a\n\nb c", "a\n\n\nb"] + ["".join(rng.choices(some, k=rng.choice([3, 6, 30]))) for _ in range(4000)]
+    found = encode.lists(pa.array(["cut off", *texts])[1:]).to_pylist()
+    assert len(found) == len(texts)
+    for t, ids in zip(texts, found):
+        assert ids == tokenizer.encode(t or "", add_special_tokens=False).ids + [0], repr(t)
+    assert encode.lists(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_words_that_never_come_back_push_no_others_out():
+    import pyarrow as pa
+
+    encode, seen = token_files.Encoder(PATH), []
+    common = [f"{a}{b}" for a in "bcdfghklmnprst" for b in "aeiou"]
+    plain = encode.bpe
+    encode.kept.limit, encode.kept.most_new = 100, 200
+    encode.bpe = lambda word: seen.append(word) or plain(word)
+    for i in range(60):
+        rare = ["".join("abcdefghij"[int(c)] for c in f"{i:02}{j:04}") for j in range(60)]
+        encode.lists(pa.array([" ".join(["The", *common, *rare]), ", ".join(["The", *rare])]))
+    assert all(seen.count(encode.blank + w) == 1 for w in common)
+    assert len(seen) == len(set(seen)) == 1 + len(common) + 60 * 60  # marks behind words make no new ones
+    assert len(encode.kept) <= 100 and len(encode.kept.new) <= 200
+
+
 def test_round_trip(spark, saved):
     want = brute(fixture())
     rows = token_files.read(spark, saved).collect()

@@ -15,6 +15,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,34 +42,48 @@ def byte_alphabet() -> dict[int, int]:
 class Encoder:
     """Byte-level BPE of the tokenizers library, with the ids of words kept.
 
-    The tokenizer's pattern always begins a new piece at a single space between two characters that aren't white space, and between
-    letters and the punctuation behind them. So a text is cut there and the parts are encoded one by one; a part of letters is one
-    piece and goes to the library's BPE model directly.
+    The tokenizer's pattern always begins a new piece at a single space between two characters that aren't white space, on both sides of
+    one or two line breaks between such characters, and between letters or digits and the punctuation behind them. So texts are cut
+    there and the parts are encoded one by one, once for all texts of a slice; a part of letters is one piece and goes to the library's
+    BPE model directly.
     """
 
     CUT = re.compile(r"(?<=\S)(?= \S)")
     #: Punctuation that is one piece behind letters, however much of it there is; an apostrophe may begin a piece of its own.
     TAIL, LONGEST = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", 64
+    #: First character of a part without a space before it, and of the stand-ins for the end id and for texts that aren't cut.
+    BARE, OTHER = "\0", "\0\0"
+    #: Texts that aren't cut among others: empty, with BARE, or with white space other than single spaces, one or two line breaks.
+    BLANK = r"\t\x0B-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+    ODD, LARGE = rf"^$|\x00|\n\n\n|[{BLANK}][\n{BLANK}]|\n[{BLANK}]|^[\n{BLANK}]|[\n{BLANK}]$", 64 << 20
+    #: Marks cut off words when a space follows, but for texts where one doesn't stand behind a letter or digit.
+    MARKS, STUCK = ".,;:!?", r"[^\pL\pN][.,;:!?] "
 
     class Kept(dict):
-        """Ids of parts as little-endian bytes; ``spaced``: with a space before them, None where the text must not be cut at their ends.
+        """Ids of parts as little-endian bytes; None where a text must not be cut at a part's ends.
 
-        At most ``limit`` parts are kept; those with line breaks hardly ever repeat and aren't.
+        Most words never come back, so new ones are set aside, at most ``most_new`` of them, and those met again are kept, at most
+        ``limit``. Parts with line breaks hardly ever repeat and aren't kept.
         """
 
-        def __init__(self, encoder: "Encoder", spaced: bool, limit: int):
+        def __init__(self, encoder: "Encoder", limit: int, most_new: int):
             super().__init__()
-            self.encoder, self.spaced, self.limit = encoder, spaced, limit
-
-        def __missing__(self, part: str) -> bytes | None:
-            value = self.encoder.part(part, self.spaced)
-            if len(part) <= Encoder.LONGEST and "\n" not in part:
-                if len(self) >= self.limit:
-                    self.clear()
-                self[part] = value
+            self.encoder, self.limit, self.new, self.most_new = encoder, limit, {}, most_new
+
+        def __missing__(self, key: str) -> bytes | None:
+            value = self.new.pop(key, None)
+            if value is not None:
+                to, most = self, self.limit
+            else:
+                value, to, most = self.encoder.part(key), self.new, self.most_new
+                if value is None or len(key) > Encoder.LONGEST or "\n" in key:
+                    return value
+            if len(to) >= most:
+                to.clear()
+            to[key] = value
             return value
 
-    def __init__(self, path: str, limit: int = 450_000, whole_limit: int = 60_000):
+    def __init__(self, path: str, limit: int = 270_000, most_new: int = 130_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -79,38 +94,63 @@ class Encoder:
         model._resize_cache(0)  # its words would be kept twice
         self.bpe, self.blank = model.tokenize, chr(self.alphabet[0x20])
         self.line = self.direct("\n")
-        self.whole, self.spaced = self.Kept(self, False, whole_limit), self.Kept(self, True, limit)
+        self.kept = self.Kept(self, limit, most_new)
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
 
-    def part(self, part: str, spaced: bool) -> bytes | None:
-        """Ids of a part, with a space before it if ``spaced``; None if a text must not be cut at its ends."""
+    def part(self, key: str) -> bytes | None:
+        """Ids of a part, with a space before it unless it begins with BARE; None if a text must not be cut at its ends."""
+        lead = key[:1] if key[:1] == self.BARE else ""
+        part = key[len(lead):]
         if part.isalpha():
             letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
-            return array("i", [t.id for t in self.bpe(self.blank + letters if spaced else letters)]).tobytes()
-        if spaced and (not part or part[0].isspace() or part[-1].isspace()):
+            return array("i", [t.id for t in self.bpe(letters if lead else self.blank + letters)]).tobytes()
+        if not part or part[0].isspace() or part[-1].isspace():
             return None
         if "\n" in part:  # a single line break between other characters is a piece of its own
             first, *rest = part.split("\n")
-            if first and not first[-1].isspace() and all(x and not x[0].isspace() and not x[-1].isspace() for x in rest):
-                return (self.spaced if spaced else self.whole)[first] + b"".join(self.line + self.whole[x] for x in rest)
+            if not first[-1].isspace() and all(x and not x[0].isspace() and not x[-1].isspace() for x in rest):
+                return self.kept[lead + first] + b"".join(self.line + self.kept[self.BARE + x] for x in rest)
         stem = part.rstrip(self.TAIL)
         if stem != part and stem.isalpha():
-            return (self.spaced if spaced else self.whole)[stem] + self.whole[part[len(stem):]]
-        return self.direct(" " + part if spaced else part)
+            return self.kept[lead + stem] + self.kept[self.BARE + part[len(stem):]]
+        return self.direct(part if lead else " " + part)
+
+    def loose(self, part: str) -> bytes:
+        """Ids of a part as CUT leaves it, white space at its ends included."""
+        ids = self.kept[part[1:] if part[:1] == " " else self.BARE + part]
+        return self.direct(part) if ids is None else ids
 
     def __call__(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit integers."""
-        if any(s in text for s in self.special):
+        if self.BARE in text or any(s in text for s in self.special):
             return self.direct(text)
-        first, *rest = text.split(" ")
-        if first and rest and not first[-1].isspace():
-            try:
-                return b"".join([self.whole[first], *map(self.spaced.__getitem__, rest)])
-            except TypeError:  # a None: white space other than single spaces
-                pass
-        return b"".join(map(self.whole.__getitem__, self.CUT.split(text))) if text else b""
+        return b"".join(map(self.loose, self.CUT.split(text)))
+
+    def lists(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of every whole text (null: empty) with the end id behind them."""
+        texts = texts.fill_null("")
+        other = pc.or_(pc.match_substring_regex(texts, self.ODD), pc.greater(pc.binary_length(texts), self.LARGE))
+        for special in self.special:
+            other = pc.or_(other, pc.match_substring(texts, special))
+        uncut = {f"{self.OTHER}{i}": self(texts[i].as_py()) for i in np.flatnonzero(other.to_numpy(zero_copy_only=False))}
+        plain = pc.binary_join_element_wise(self.BARE, pc.if_else(other, "", texts), "")
+        plain = cut = pc.replace_substring(plain, "\n", " \0\n \0")
+        for mark in self.MARKS:
+            cut = pc.replace_substring(cut, mark + " ", f" \0{mark} ")
+        cut = pc.if_else(pc.match_substring_regex(plain, self.STUCK), plain, cut)
+        cut = pc.replace_with_mask(cut, other, pa.array(list(uncut), pa.string()))
+        words = pc.split_pattern(pc.binary_join_element_wise(cut, self.OTHER, " "), " ")
+        found = words.values.dictionary_encode()
+        # between two line breaks there is an empty part
+        known = uncut | {self.OTHER: END.to_bytes(4, "little"), "\0\n": self.line, self.BARE: b""}
+        kept = self.kept
+        ids = [known[w] if w in known else kept[w] for w in found.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        ends = np.cumsum([0, *map(len, ids)]) // 4
+        parts = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        parts = parts.take(found.indices)
+        return pa.ListArray.from_arrays(parts.offsets.take(words.offsets), parts.values)
 
 
 def encoder(path: str) -> Encoder:
@@ -125,13 +165,11 @@ def write(docs: DataFrame, folder: str, tokenizer: str) -> None:
     """
 
     def run(batches):
-        encode, total, last = encoder(tokenizer), 0, END.to_bytes(4, "little")
-        for batch in slices(batches, "text", 4 << 20):
-            ids = [encode(t or "") for t in batch.column("text").to_pylist()]
-            counts = np.array([len(x) // 4 + 1 for x in ids], np.int64)
+        encode, total = encoder(tokenizer), 0
+        for batch in slices(batches, "text", 2 << 20):
+            lists = encode.lists(batch.column("text"))
+            counts = np.diff(lists.offsets.to_numpy()).astype(np.int64)
             ends = np.cumsum(counts)
-            flat = np.frombuffer(b"".join(x + last for x in ids), "<i4")
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("part"), pa.array(total + ends - counts), pa.array(counts), lists], ["doc_id", "part", "local_start", "n_tokens", "ids"])
             total += int(ends[-1])
